@@ -1,0 +1,19 @@
+"""Lookups against dimensions that are usually small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(dimension: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a narrow dimension after counting that it has at most ``max_rows`` rows.
+
+    A larger one comes back unhinted and joins by shuffle. The count stops at the bound;
+    pass a stored table, so that it reads footers or one column only.
+    """
+    if dimension.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(dimension)
+    return dimension

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierstone.functions.keys import surrogate_key
 from tierstone.functions.times import as_of_timestamp, open_end
 from tierstone.operators.enforce import latest_per_key
-from tierstone.operators.timeline import null_safe_join, with_next
+from tierstone.operators.timeline import ROWS_PER_SLOT, find_slots, null_safe_join, with_next
 
 HISTORY_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
 
@@ -22,23 +22,33 @@ def _versions(source: DataFrame, keys: Sequence[str], updated_at: str) -> DataFr
     return rows.withColumns({"updated_at": F.col(updated_at), "valid_from": F.col(updated_at)})
 
 
-def _finished(df: DataFrame, keys: Sequence[str], valid_to: Column) -> DataFrame:
-    return df.withColumns({"scd_id": surrogate_key(*keys, "updated_at"), "valid_to": valid_to})
+def _chained(versions: DataFrame, keys: Sequence[str], slots) -> DataFrame:
+    """Each version closed by the next one of its key, the last one open."""
+    rows = with_next(versions, keys, "valid_from", "_until", slots)
+    return rows.withColumns({
+        "scd_id": surrogate_key(*keys, "updated_at"),
+        "valid_to": F.coalesce(F.col("_until"), open_end()),
+    }).drop("_until")
 
 
-def build_history(log: DataFrame, keys: Sequence[str], updated_at: str, unit: str = "month") -> DataFrame:
-    """All versions of a change log, each closed by the next, the last one open."""
-    rows = with_next(_versions(log, keys, updated_at), keys, "valid_from", "_until", unit)
-    return _finished(rows, keys, F.coalesce(F.col("_until"), open_end())).drop("_until")
+def build_history(log: DataFrame, keys: Sequence[str], updated_at: str,
+                  rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+    """All versions of a change log as one history table."""
+    slots = find_slots(log.select(*keys, updated_at), keys, updated_at, rows_per_slot)
+    return _chained(_versions(log, keys, updated_at), keys, slots)
+
+
+def is_current(valid_to: str = "valid_to") -> Column:
+    return F.col(valid_to) == open_end()
 
 
 def current_rows(history: DataFrame, valid_to: str = "valid_to") -> DataFrame:
-    return history.filter(F.col(valid_to) == open_end())
+    return history.filter(is_current(valid_to))
 
 
 def snapshot(history: DataFrame, source: DataFrame, keys: Sequence[str], updated_at: str,
              run_at: datetime | str | None = None, hard_deletes: bool = True,
-             unit: str = "month") -> DataFrame:
+             rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
     """The history after one snapshot run over ``source``.
 
     New key: open row. Newer ``updated_at``: the open row is closed at that time and a
@@ -53,17 +63,17 @@ def snapshot(history: DataFrame, source: DataFrame, keys: Sequence[str], updated
 
     incoming = null_safe_join(_versions(source, keys, updated_at), marks, keys)
     is_newer = F.col("_open_at").isNull() | (F.col("updated_at") > F.col("_open_at"))
-    added = with_next(incoming.filter(is_newer), keys, "valid_from", "_until", unit)
-    added = _finished(added, keys, F.coalesce(F.col("_until"), open_end()))
+    slots = find_slots(source.select(*keys, updated_at), keys, updated_at, rows_per_slot)
+    added = _chained(incoming.filter(is_newer), keys, slots)
 
-    per_key = source.select(*keys, F.col(updated_at).alias("_at"))
-    per_key = null_safe_join(per_key, marks, keys).groupBy(*keys).agg(
+    arrived = null_safe_join(source.select(*keys, F.col(updated_at).alias("_at")), marks, keys)
+    per_key = arrived.groupBy(*keys).agg(
         F.min(F.when(F.col("_at") > F.col("_open_at"), F.col("_at"))).alias("_closed_at"),
-        F.lit(True).alias("_seen"),
+        F.first(F.lit(True)).alias("_seen"),
     )
     gone = F.col("_seen").isNull() & F.lit(hard_deletes)
     end = F.when(gone, as_of_timestamp(run_at)).otherwise(F.coalesce(F.col("_closed_at"), open_end()))
     kept = null_safe_join(open_rows, per_key, keys).withColumn("valid_to", end)
 
-    closed = history.filter(~(F.col("valid_to") == open_end()))
+    closed = history.filter(~is_current())
     return closed.unionByName(kept.select(*columns)).unionByName(added.select(*columns))

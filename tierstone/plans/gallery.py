@@ -170,7 +170,7 @@ def fact_txn_kpi_lookback(spark: SparkSession, folder: str) -> DataFrame:
 @entry_point
 def fact_txn_kpi_window(spark: SparkSession, folder: str) -> DataFrame:
     """The look-back hours of a loaded fact deleted and rebuilt."""
-    target = _txn_kpi(spark, folder).withColumn("last_update", F.lit("2024-01-01").cast("timestamp"))
+    target = materialise(_txn_kpi(spark, folder), "kpi").withColumn("last_update", F.lit("2024-01-01").cast("timestamp"))
     rebuilt = _txn_kpi(spark, folder, incremental=True, as_of=EVENTS_AS_OF)
     first = hour_key(incremental.lookback_start(2, EVENTS_AS_OF).cast("timestamp"))
     merged = merge.replace_window(target, rebuilt, F.col("sk_date_time") >= first)
@@ -232,9 +232,9 @@ def fact_gameround(spark: SparkSession, folder: str) -> DataFrame:
 @entry_point
 def fact_gameround_increment(spark: SparkSession, folder: str) -> DataFrame:
     """Rounds above the high-water mark, merged on (round, country)."""
-    fact = materialise(rounds_fact(spark, folder), "rounds")
-    loaded = fact.filter(F.col("updated_at") < F.lit(SPLIT).cast("timestamp"))
-    fresh = facts.fact_gameround(rounds(spark, folder), loaded)
+    stored = materialise(rounds(spark, folder), "rounds")
+    loaded = facts.fact_gameround(stored).filter(F.col("updated_at") < F.lit(SPLIT).cast("timestamp"))
+    fresh = facts.fact_gameround(stored, loaded)
     merged = merge.keyed_merge(loaded, fresh, ROUND_KEYS)
     return merged.groupBy("country_code", "is_promotional").agg(
         F.count(F.lit(1)).alias("rounds"), kpi.money_sum("ggr_eur").alias("ggr_eur"))
@@ -390,7 +390,7 @@ def scd2_players(spark: SparkSession, folder: str) -> DataFrame:
 
 @entry_point
 def scd2_limits(spark: SparkSession, folder: str) -> DataFrame:
-    return history.build_history(warehouse.limits_log(spark, folder), LIMIT_KEYS, "modified_at", unit="day")
+    return history.build_history(warehouse.limits_log(spark, folder), LIMIT_KEYS, "modified_at")
 
 
 def _tag_snapshot(spark: SparkSession, folder: str, drop_inactive: bool) -> DataFrame:
@@ -422,7 +422,7 @@ def current_rows(spark: SparkSession, folder: str) -> DataFrame:
 @entry_point
 def point_in_time_join(spark: SparkSession, folder: str) -> DataFrame:
     """Each purchase with the limit in force at that moment."""
-    limits = history.build_history(warehouse.limits_log(spark, folder), LIMIT_KEYS, "modified_at", unit="day")
+    limits = history.build_history(warehouse.limits_log(spark, folder), LIMIT_KEYS, "modified_at")
     return timeline.as_of_join(warehouse.purchases(spark, folder), limits, PLAYER_KEYS, "happened_at",
                                ["limit_value", "valid_from"])
 
@@ -431,7 +431,7 @@ def point_in_time_join(spark: SparkSession, folder: str) -> DataFrame:
 def classification_at(spark: SparkSession, folder: str) -> DataFrame:
     """Each purchase with the classifications active at that moment."""
     log = warehouse.classifications_log(spark, folder)
-    spans = history.build_history(log, TAG_KEYS, "modified_at", unit="day").filter(F.col("is_active") == 1)
+    spans = history.build_history(log, TAG_KEYS, "modified_at").filter(F.col("is_active") == 1)
     labels = {f"CLASS_{i}": f"class_{i}" for i in range(3)}
     return timeline.active_flags_at(warehouse.purchases(spark, folder), spans, PLAYER_KEYS, "happened_at",
                                     "tag_category", labels)
@@ -653,15 +653,13 @@ class RoundStreams:
 
     def land(self, rows: DataFrame) -> None:
         """New files per country; the country is part of the folder, not of the rows."""
-        for country in COUNTRIES:
-            mine = rows.filter(F.col("country_code") == country).drop("country_code")
-            mine.write.mode("append").parquet(bronze.landing_dir(f"{self.root}/landing", country, self.table))
+        rows.write.mode("append").partitionBy("country_code").parquet(f"{self.root}/landing/{self.table}")
 
     def _checkpoint(self, layer: str, country: str) -> str:
         return f"{self.root}/checkpoints/{layer}/{country}/{self.table}"
 
     def ingest(self, country: str) -> bronze.IngestReport:
-        return bronze.ingest(self.spark, country, bronze.landing_dir(f"{self.root}/landing", country, self.table),
+        return bronze.ingest(self.spark, country, f"{self.root}/landing/{self.table}/country_code={country}",
                              bronze.bronze_dir(f"{self.root}/bronze", country, self.table),
                              self._checkpoint("bronze", country))
 

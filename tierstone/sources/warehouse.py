@@ -40,6 +40,12 @@ def _money(value: Column) -> Column:
     return value.cast("decimal(34,4)")
 
 
+def events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events with the number in their properties parsed once, as ``k``."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return table(spark, folder, "events").withColumn("k", k)
+
+
 def trips(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as trips from order date to ship date."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
@@ -58,8 +64,7 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Events as game transactions."""
-    k = F.get_json_object("props", "$.k")
-    n = k.cast("int")
+    n = F.col("k")
     value = _cents("value")
     real = value * F.lit("0.75").cast("decimal(3,2)")
 
@@ -74,10 +79,10 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
         pick("error", 3, ["ROLLBACK_BET", "ROLLBACK_RESERVED_BET", "ROLLBACK_ROUND"]),
         pick("signup", 2, ["ROLLBACK_WIN", "ADJUSTMENT"]),
     )
-    return table(spark, folder, "events").select(
+    return events(spark, folder).select(
         _text("event_id").alias("transaction_id"),
         _text("user_id").alias("player_id"),
-        F.when(n == 0, "  ").when(n < 50, F.concat(F.lit(" "), k, F.lit(" "))).otherwise(k).alias("game_id"),
+        F.when(n == 0, "  ").when(n < 50, F.concat(F.lit(" "), _text("k"), F.lit(" "))).otherwise(_text("k")).alias("game_id"),
         country_of("user_id").alias("country_code"),
         F.when(F.col("user_id") % 2 == 0, "EUR").otherwise("DKK").alias("currency_code"),
         kind.alias("transaction_type"),
@@ -243,8 +248,8 @@ def limits_log(spark: SparkSession, folder: str) -> DataFrame:
 
 def classifications_log(spark: SparkSession, folder: str) -> DataFrame:
     """Click and view events switching one of three classifications of a player on and off."""
-    level = F.get_json_object("props", "$.k").cast("int") % 3
-    return table(spark, folder, "events").filter(F.col("event_type").isin("click", "view")).select(
+    level = F.col("k") % 3
+    return events(spark, folder).filter(F.col("event_type").isin("click", "view")).select(
         F.concat_ws("-", F.col("user_id").cast("string"), level.cast("string")).alias("tag_id"),
         _text("user_id").alias("player_id"),
         country_of("user_id").alias("country_code"),
@@ -266,13 +271,13 @@ def purchases(spark: SparkSession, folder: str) -> DataFrame:
 
 def attempts(spark: SparkSession, folder: str) -> DataFrame:
     """Events as delivery attempts for their user's outbox row."""
-    n = F.get_json_object("props", "$.k").cast("int")
+    n = F.col("k")
     kind = F.col("event_type")
     status = (
         F.when(kind == "purchase", 200).when(kind == "click", F.when(n % 2 == 0, 201).otherwise(403))
         .when(kind == "view", 404).when(kind == "error", 503).otherwise(F.when(n % 2 == 0, 401).otherwise(0))
     )
-    return table(spark, folder, "events").select(
+    return events(spark, folder).select(
         "event_id",
         _text("user_id").alias("online_customer_id"),
         country_of("user_id").alias("country_code"),

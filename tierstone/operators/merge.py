@@ -8,7 +8,7 @@ joins run as sort-merge joins.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,6 +146,20 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequenc
     delete_path(spark, stage)
 
 
+def load_incremental(spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame],
+                     keys: Sequence[str], partition_by: Sequence[str], stage: str,
+                     full_refresh: bool = False) -> None:
+    """Run an incremental model: ``build(loaded)`` merged on the keys.
+
+    ``build(None)`` is the full load, used when the table is missing and on
+    ``full_refresh``, where it replaces the table.
+    """
+    if full_refresh or not path_exists(spark, path):
+        overwrite_table(build(None), path, partition_by)
+    else:
+        merge_table(spark, path, build(spark.read.parquet(path)), keys, partition_by, stage)
+
+
 def merge_into_catalog(table: str, source: DataFrame, spec: TableContract) -> None:
     """The same upsert as one MERGE, for catalogs with row-level operations."""
     name = table.split(".")[-1]

@@ -99,7 +99,7 @@ def find_slots(points: DataFrame, keys: Sequence[str], ts: str, rows_per_slot: i
     if (seen.largest or 0) <= target:
         return Slots(keys)
     hot = sizes.filter(F.col("_n") > target)
-    shares = F.array(*[F.lit(i / SLOTS_PER_KEY) for i in range(1, SLOTS_PER_KEY)])
+    shares = F.expr("array(" + ",".join(f"{i / SLOTS_PER_KEY!r}D" for i in range(1, SLOTS_PER_KEY)) + ")")
     spots = (
         null_safe_join(points.withColumn("_at", _micros(ts)), F.broadcast(hot), keys, "inner")
         .groupBy(*keys)

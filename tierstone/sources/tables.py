@@ -40,9 +40,13 @@ def has_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> bool:
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
-    if not path_exists(spark, path):
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
         return None
-    return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    stream = fs.open(p)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

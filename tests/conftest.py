@@ -16,6 +16,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,5 +1,4 @@
 import random
-from datetime import date
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,6 +9,7 @@ from tierstone.contracts import TableContract, contract
 from tierstone.operators import merge
 from tierstone.operators.enforce import enforce_schema, latest_per_key, malformed_rows, stamp
 from tierstone.session import scratch_dir
+from tierstone.sources.tables import path_exists
 
 KEYS = ["pk", "country_code"]
 SCHEMA = "pk string, country_code string, version int, v string"
@@ -45,7 +45,9 @@ CASES_SOURCE = [("newer", "de", 2, "s"), ("equal", "de", 2, "s"), ("older", "de"
 def test_upsert_cases(spark):
     target, source = frame(spark, CASES_TARGET), frame(spark, CASES_SOURCE)
     assert rows_of(merge.upsert(target, source, KEYS, "version")) == upsert_in_python(CASES_TARGET, CASES_SOURCE)
-    counts = merge.upsert_metrics(merge.classify_upsert(target, source, KEYS, "version")).first()
+    changes = merge.classify_upsert(target, source, KEYS, "version")
+    assert rows_of(merge.apply_changes(target, changes, KEYS)) == upsert_in_python(CASES_TARGET, CASES_SOURCE)
+    counts = merge.upsert_metrics(changes).first()
     assert (counts.inserted, counts.updated, counts.unchanged) == (2, 2, 5)
 
 
@@ -128,15 +130,15 @@ def test_merge_table_rewrites_touched_partitions_only(spark):
     assert before == after
 
 
-def test_write_through_stage_resumes(spark):
-    """A finished stage is used even though the target has since lost its rows."""
+def test_interrupted_merge_is_finished_first(spark):
     root = scratch_dir(spark, "test")
     path, stage = f"{root}/t", f"{root}/stage"
     rows = frame(spark, [("a", "de", 1, "t")])
-    merge.overwrite_table(rows, stage, ["country_code"])
-    merge.overwrite_table(frame(spark, []), path, ["country_code"])
-    merge.write_through_stage(frame(spark, [("lost", "de", 1, "x")]), path, ["country_code"], stage)
-    assert rows_of(spark.read.parquet(path).select("pk", "v")) == [("a", "t")]
+    merge.overwrite_table(frame(spark, [("b", "at", 1, "t")]), path, ["country_code"])
+    rows.write.parquet(stage)  # an earlier run got this far and lost the country "de"
+    merge.merge_table(spark, path, frame(spark, [("c", "de", 1, "s")]), KEYS, ["country_code"], stage)
+    assert rows_of(spark.read.parquet(path).select("pk", "v")) == [("a", "t"), ("b", "t"), ("c", "s")]
+    assert not path_exists(spark, stage)
 
 
 def test_incremental_load(spark):

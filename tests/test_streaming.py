@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tierstone.contracts import contract
 from tierstone.session import scratch_dir
-from tierstone.sources.tables import has_files, has_rows_written
+from tierstone.sources.tables import has_files, is_complete
 from tierstone.streaming import bronze, silver
 
 SPEC = contract("ig_player_tag")
@@ -126,7 +126,7 @@ def test_malformed_values_are_quarantined(lake, spark):
     assert lake.rows() == [("a", "de", 1, "x"), ("b", "de", None, "x")]
     kept = spark.read.parquet(f"{lake.mark('silver')}/stage/quarantine/batch=0")
     assert [(r.tag_id, r.version) for r in kept.collect()] == [("b", "oops")]
-    assert has_rows_written(spark, f"{lake.mark('silver')}/stage/batch=0/changes")
+    assert is_complete(spark, f"{lake.mark('silver')}/stage/batch=0/changes")
 
 
 def test_small_batches_give_the_same_table(lake):
@@ -136,3 +136,21 @@ def test_small_batches_give_the_same_table(lake):
     report = lake.merge(max_files_per_batch=1)
     assert lake.rows() == [("a", "de", 2, "v2"), ("k0", "de", 1, "x"), ("k1", "de", 1, "x"), ("k2", "de", 1, "x")]
     assert report.inserted == 4
+
+
+def test_buckets_limit_the_rewrite(lake, spark):
+    def files():
+        return {f.rsplit("/", 2)[1]: f for f in spark.read.parquet(lake.silver).inputFiles()}
+
+    lake.land([(f"k{i}", "1", 1, "x") for i in range(40)])
+    lake.ingest()
+    lake.merge(buckets=8)
+    before = files()
+    assert len(before) == 8
+    lake.land([("k3", "2", 1, "y"), ("k4", "0", 1, "stale")])
+    lake.ingest()
+    report = lake.merge(buckets=8)
+    assert (report.inserted, report.updated, report.unchanged) == (0, 1, 1)
+    after = files()
+    assert sum(before[b] != after[b] for b in before) == 1, "only the changed key's bucket is rewritten"
+    assert lake.rows() == sorted([(f"k{i}", "de", 2 if i == 3 else 1, "y" if i == 3 else "x") for i in range(40)])

@@ -1,9 +1,9 @@
 """Upserts and keyed merges over DataFrames, and their table-writing forms.
 
-Plans are shaped for a small change set against a large target: the target is read
-once narrow (keys and version) and once wide, and neither read needs a shuffle as long
-as Spark's own size check lets it broadcast the change set. Beyond that size the same
-joins run as sort-merge joins.
+Changes are classified and applied separately for a small change set against a large
+target: the target is read once narrow (keys and version) and once wide, and neither
+read needs a shuffle as long as Spark's own size check lets it broadcast the change
+set. Beyond that size the same joins run as sort-merge joins.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.contracts import TableContract
-from tierstone.sources.tables import delete_path, has_rows_written, path_exists
+from tierstone.sources.tables import delete_path, is_complete, path_exists
 
 ACTION = "_action"
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
@@ -59,8 +59,19 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) ->
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], version_col: str) -> DataFrame:
-    """Version-guarded upsert: newer source rows replace, unknown keys are inserted."""
-    return apply_changes(target, classify_upsert(target, source, keys, version_col), keys)
+    """Version-guarded upsert in one pass over both sides, for a source of the target's size.
+
+    Newer source rows replace whole target rows, unknown keys are inserted, the rest
+    stays. Each side is read and shuffled once. For a small source against a large
+    target use ``classify_upsert`` and ``apply_changes``.
+    """
+    keys = list(keys)
+    columns = target.columns
+    stored = target.select(*keys, F.struct(*columns).alias("_t"))
+    arrived = source.select(*keys, F.struct(*columns).alias("_s"))
+    newer = F.col("_t").isNull() | (F.col("_s")[version_col] > F.col("_t")[version_col])
+    row = F.when(newer, F.col("_s")).otherwise(F.col("_t"))
+    return stored.join(arrived, keys, "full_outer").select(row.alias("_row")).select("_row.*")
 
 
 def upsert_metrics(changes: DataFrame) -> DataFrame:
@@ -98,27 +109,56 @@ def replace_window(target: DataFrame, source: DataFrame, in_window: Column) -> D
 # --- table-writing forms ----------------------------------------------------------
 
 
+def _sized_for(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one partition together, so that each gets few files.
+
+    Rebalancing leaves the sizes to adaptive execution: small partitions share a task,
+    a large one is split over several.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full rebuild; the new schema replaces the old one."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+    (_sized_for(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy(*partition_by).parquet(path))
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Overwrite only the partitions ``df`` has rows for."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by).parquet(path))
+    (_sized_for(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by).parquet(path))
+
+
+def finish_stage(spark: SparkSession, path: str, partition_by: Sequence[str], stage: str) -> None:
+    """Publish what an interrupted run left complete in ``stage``; drop an incomplete stage."""
+    if is_complete(spark, stage):
+        replace_partitions(spark.read.parquet(stage), path, partition_by)
+    delete_path(spark, stage)
 
 
 def write_through_stage(df: DataFrame, path: str, partition_by: Sequence[str], stage: str) -> None:
     """Replace partitions of a table ``df`` itself reads.
 
-    The result is written to ``stage`` first. A rerun that finds a finished stage only
-    repeats the second write, so an interrupted overwrite loses nothing.
+    The result is complete in ``stage`` before the table is touched, so an interrupted
+    overwrite loses nothing: ``finish_stage`` repeats it.
+    """
+    df.write.mode("overwrite").parquet(stage)
+    finish_stage(df.sparkSession, path, partition_by, stage)
+
+
+def _in_partitions(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Whether a row lies in a partition ``df`` has rows for.
+
+    The partition values come to the driver; their number is bounded by the table's layout.
     """
-    spark = df.sparkSession
-    if not has_rows_written(spark, stage):
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
-    replace_partitions(spark.read.schema(df.schema).parquet(stage), path, partition_by)
+    hit = F.lit(False)
+    for values in df.select(*columns).distinct().collect():
+        same = F.lit(True)
+        for name, value in values.asDict().items():
+            same = same & F.col(name).eqNullSafe(F.lit(value))
+        hit = hit | same
+    return hit
 
 
 def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
@@ -126,24 +166,16 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequenc
     """Keyed merge into a parquet table, rewriting only the partitions the source touches.
 
     Every partition column must be determined by the key: then a key's old row sits in
-    the partition its new row goes to. The touched partition values come to the driver;
-    their number is bounded by the table's layout.
+    the partition its new row goes to. A partition per day or month keeps the rewrite as
+    small as the look-back. ``stage`` belongs to the table; what an interrupted run left
+    there is published first.
     """
+    finish_stage(spark, path, partition_by, stage)
     if not path_exists(spark, path):
         overwrite_table(source, path, partition_by)
         return
-    target = spark.read.schema(source.schema).parquet(path)
-    touched = [r.asDict() for r in source.select(*partition_by).distinct().collect()]
-    if not touched:
-        return
-    hit = F.lit(False)
-    for values in touched:
-        same = F.lit(True)
-        for name, value in values.items():
-            same = same & F.col(name).eqNullSafe(F.lit(value))
-        hit = hit | same
-    write_through_stage(keyed_merge(target.filter(hit), source, keys), path, partition_by, stage)
-    delete_path(spark, stage)
+    target = spark.read.schema(source.schema).parquet(path).filter(_in_partitions(source, partition_by))
+    write_through_stage(keyed_merge(target, source, keys), path, partition_by, stage)
 
 
 def load_incremental(spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame],
@@ -154,6 +186,7 @@ def load_incremental(spark: SparkSession, path: str, build: Callable[[DataFrame
     ``build(None)`` is the full load, used when the table is missing and on
     ``full_refresh``, where it replaces the table.
     """
+    finish_stage(spark, path, partition_by, stage)
     if full_refresh or not path_exists(spark, path):
         overwrite_table(build(None), path, partition_by)
     else:

@@ -91,10 +91,13 @@ def full_payments(spark: SparkSession, folder: str) -> DataFrame:
     return enforce_schema(warehouse.payments(spark, folder), contract("ig_payment").schema)
 
 
+def payment_methods(payments: DataFrame) -> DataFrame:
+    return broadcast_if_small(materialise(dimensions.dim_payment_method(payments), "methods"))
+
+
 def payments_fact(spark: SparkSession, folder: str) -> DataFrame:
     rows = full_payments(spark, folder)
-    methods = broadcast_if_small(dimensions.dim_payment_method(rows))
-    return facts.fact_payments(rows, methods, now=NOW)
+    return facts.fact_payments(rows, payment_methods(rows), now=NOW)
 
 
 def rounds_fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -178,6 +181,25 @@ def fact_txn_kpi_window(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("row_count"), kpi.money_sum("ggr_eur").alias("ggr_eur"))
 
 
+@entry_point
+def kpi_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The KPI fact as a table by day: a full load up to a day, then two identical look-back runs."""
+    root = scratch_dir(spark, "kpi-table")
+    sources = (warehouse.transactions(spark, folder), tags(spark, folder), catalog(spark, folder))
+    known = sources[0].filter(F.col("created_at") < F.lit(EVENTS_AS_OF).cast("timestamp"))
+
+    def build(loaded: DataFrame | None) -> DataFrame:
+        if loaded is None:
+            fact = facts.fact_txn_kpi(known, *sources[1:], now=NOW)
+        else:
+            fact = facts.fact_txn_kpi(*sources, incremental=True, as_of=EVENTS_AS_OF, now=NOW)
+        return fact.withColumn("kpi_day", F.floor(F.col("sk_date_time") / 100).cast("int"))
+
+    for _ in range(3):
+        merge.load_incremental(spark, f"{root}/fact", build, ["sk_txn_kpi"], ["kpi_day"], f"{root}/stage")
+    return read_table(spark, f"{root}/fact").drop("kpi_day")
+
+
 @entry_point
 def net_of_reversals(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.transactions(spark, folder).groupBy("player_id", "country_code").agg(
@@ -219,8 +241,7 @@ def fact_payments(spark: SparkSession, folder: str) -> DataFrame:
 @entry_point
 def fact_payments_lookback(spark: SparkSession, folder: str) -> DataFrame:
     rows = full_payments(spark, folder)
-    methods = broadcast_if_small(dimensions.dim_payment_method(rows))
-    fact = facts.fact_payments(rows, methods, incremental=True, lookback_days=30, as_of=ORDERS_AS_OF, now=NOW)
+    fact = facts.fact_payments(rows, payment_methods(rows), incremental=True, lookback_days=30, as_of=ORDERS_AS_OF, now=NOW)
     return fact.select("sk_payment", "payment_id", "sk_date_time", "net_amount_eur", "created_at")
 
 
@@ -358,8 +379,9 @@ def upsert_versioned(spark: SparkSession, folder: str) -> DataFrame:
 @entry_point
 def upsert_stale(spark: SparkSession, folder: str) -> DataFrame:
     """Older versions arriving late change nothing that is stored, and add what is new."""
-    late, current = _split_rounds(spark, folder)
-    return merge.upsert(current, late, ROUND_KEYS, "version").select(*ROUND_KEYS, "version", "bet_amount_eur")
+    late, current = (materialise(part, "rounds") for part in _split_rounds(spark, folder))
+    changes = materialise(merge.classify_upsert(current, late, ROUND_KEYS, "version"), "changes")
+    return merge.apply_changes(current, changes, ROUND_KEYS).select(*ROUND_KEYS, "version", "bet_amount_eur")
 
 
 @entry_point
@@ -650,6 +672,7 @@ class RoundStreams:
         self.root = scratch_dir(spark, "streams")
         self.spec = contract(self.table)
         self.silver_path = f"{self.root}/silver/{self.table}"
+        self.buckets = 4
 
     def land(self, rows: DataFrame) -> None:
         """New files per country; the country is part of the folder, not of the rows."""
@@ -666,7 +689,8 @@ class RoundStreams:
     def merge(self, country: str) -> silver.UpsertReport:
         return silver.upsert_stream(
             self.spark, self.spec, country, bronze.bronze_dir(f"{self.root}/bronze", country, self.table),
-            self._checkpoint("bronze", country), self.silver_path, self._checkpoint("silver", country), now=NOW)
+            self._checkpoint("bronze", country), self.silver_path, self._checkpoint("silver", country), now=NOW,
+            buckets=self.buckets)
 
     def for_each_country(self, step: Callable) -> dict:
         with ThreadPoolExecutor(len(COUNTRIES)) as pool:

@@ -411,6 +411,7 @@ SQL: dict[str, str] = {
         ELSE TIMESTAMP '2024-01-01' END AS last_update,
       count(*) AS row_count, CAST(round(sum(CAST(ggr_eur AS DECIMAL(18,4))), 4) AS DOUBLE) AS ggr_eur
       FROM kpi GROUP BY ALL""",
+    "kpi_table": kpi_sql(),
     "net_of_reversals": with_(TXN) + f"""SELECT player_id, country_code, CAST({bets('amount_eur')} AS DOUBLE) AS bets_eur,
       CAST({wins('amount_eur')} AS DOUBLE) AS wins_eur FROM txn GROUP BY ALL""",
     "promo_wins": with_(TXN) + f"""SELECT player_id, country_code, CAST({PROMO_BONUS} AS DOUBLE) AS promo_wins_bonus_eur,

@@ -17,7 +17,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def has_rows_written(spark: SparkSession, path: str) -> bool:
+def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether an earlier write to ``path`` finished."""
     return path_exists(spark, f"{path}/_SUCCESS")
 

@@ -135,7 +135,7 @@ def test_interrupted_merge_is_finished_first(spark):
     path, stage = f"{root}/t", f"{root}/stage"
     rows = frame(spark, [("a", "de", 1, "t")])
     merge.overwrite_table(frame(spark, [("b", "at", 1, "t")]), path, ["country_code"])
-    rows.write.parquet(stage)  # an earlier run got this far and lost the country "de"
+    rows.write.parquet(f"{stage}/result")  # an earlier run got this far and lost the country "de"
     merge.merge_table(spark, path, frame(spark, [("c", "de", 1, "s")]), KEYS, ["country_code"], stage)
     assert rows_of(spark.read.parquet(path).select("pk", "v")) == [("a", "t"), ("b", "t"), ("c", "s")]
     assert not path_exists(spark, stage)

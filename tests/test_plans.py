@@ -8,20 +8,8 @@ from pyspark.sql import functions as F
 from tierstone.operators import incremental, merge
 from tierstone.operators.history import build_history
 from tierstone.plans import facts, marts
-from tierstone.plans.gallery import QUERIES
 from tierstone.session import scratch_dir
 
-SMALL = "/root/testdata/sf0.001"
-FRAMES = [n for n in QUERIES if not n.startswith("stream")]
-
-
-@pytest.mark.parametrize("name", FRAMES)
-def test_no_cross_join_and_no_python(spark, plan_of, name):
-    plan = plan_of(QUERIES[name](spark, SMALL))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert not re.search("PythonUDF|EvalPython|MapInPandas|FlatMapGroups", plan)
-
-
 @pytest.fixture(scope="module")
 def stored(spark):
     """Silver-like tables on disk, so that filters can reach a scan."""

@@ -131,22 +131,12 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 
 
 def finish_stage(spark: SparkSession, path: str, partition_by: Sequence[str], stage: str) -> None:
-    """Publish what an interrupted run left complete in ``stage``; drop an incomplete stage."""
-    if is_complete(spark, stage):
-        replace_partitions(spark.read.parquet(stage), path, partition_by)
+    """Publish a result an interrupted run left complete under ``stage``; then clear the stage."""
+    if is_complete(spark, f"{stage}/result"):
+        replace_partitions(spark.read.parquet(f"{stage}/result"), path, partition_by)
     delete_path(spark, stage)
 
 
-def write_through_stage(df: DataFrame, path: str, partition_by: Sequence[str], stage: str) -> None:
-    """Replace partitions of a table ``df`` itself reads.
-
-    The result is complete in ``stage`` before the table is touched, so an interrupted
-    overwrite loses nothing: ``finish_stage`` repeats it.
-    """
-    df.write.mode("overwrite").parquet(stage)
-    finish_stage(df.sparkSession, path, partition_by, stage)
-
-
 def _in_partitions(df: DataFrame, columns: Sequence[str]) -> Column:
     """Whether a row lies in a partition ``df`` has rows for.
 
@@ -167,15 +157,21 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequenc
 
     Every partition column must be determined by the key: then a key's old row sits in
     the partition its new row goes to. A partition per day or month keeps the rewrite as
-    small as the look-back. ``stage`` belongs to the table; what an interrupted run left
-    there is published first.
+    small as the look-back.
+
+    The source is computed once, into ``stage``, and the merged partitions are complete
+    there before the table is touched: an interrupted overwrite loses nothing, because
+    the next run publishes it first. ``stage`` belongs to the table.
     """
     finish_stage(spark, path, partition_by, stage)
     if not path_exists(spark, path):
         overwrite_table(source, path, partition_by)
         return
-    target = spark.read.schema(source.schema).parquet(path).filter(_in_partitions(source, partition_by))
-    write_through_stage(keyed_merge(target, source, keys), path, partition_by, stage)
+    source.write.parquet(f"{stage}/source")
+    arrived = spark.read.schema(source.schema).parquet(f"{stage}/source")
+    target = spark.read.schema(source.schema).parquet(path).filter(_in_partitions(arrived, partition_by))
+    keyed_merge(target, arrived, keys).write.parquet(f"{stage}/result")
+    finish_stage(spark, path, partition_by, stage)
 
 
 def load_incremental(spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame],

@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierstone.operators import incremental, merge
-from tierstone.operators.history import build_history
+from tierstone.operators.history import build_history, snapshot
 from tierstone.plans import facts, marts
-from tierstone.session import scratch_dir
+from tierstone.session import materialise, scratch_dir
 
 @pytest.fixture(scope="module")
 def stored(spark):
@@ -79,3 +79,16 @@ def test_ordinary_history_takes_one_window_shuffle_after_dedup(spark, plan_of, s
     log = stored("txn").select("player_id", "country_code", "created_at", "amount_eur")
     plan = plan_of(build_history(log, ["player_id", "country_code"], "created_at"))
     assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_snapshot_shares_one_partitioning(spark, plan_of, stored):
+    """Each frame is shuffled by key for its join; the aggregate and the window after it are not."""
+    keys = ["player_id", "country_code"]
+    log = stored("txn").select(*keys, "created_at", "amount_eur")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = materialise(build_history(log, keys, "created_at"), "test-history")
+        plan = plan_of(snapshot(built, log, keys, "created_at", run_at="2024-01-01 00:00:00"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 6

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierstone.functions.keys import surrogate_key
 from tierstone.functions.times import as_of_timestamp, open_end
 from tierstone.operators.enforce import latest_per_key
-from tierstone.operators.timeline import ROWS_PER_SLOT, find_slots, null_safe_join, with_next
+from tierstone.operators.timeline import ROWS_PER_SLOT, find_slots, with_next
 
 HISTORY_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
 
@@ -55,25 +55,28 @@ def snapshot(history: DataFrame, source: DataFrame, keys: Sequence[str], updated
     new one opened; several newer versions of one key are chained. Older or equal:
     nothing. Open key missing from the source: closed at ``run_at`` (unless
     ``hard_deletes`` is off). Closed rows pass through.
+
+    Keys are not NULL, as the contracts demand. Plain equality lets the joins, the
+    aggregate and the window share one partitioning by key.
     """
     keys = list(keys)
     columns = history.columns
     open_rows = current_rows(history)
     marks = open_rows.select(*keys, F.col("updated_at").alias("_open_at"))
 
-    incoming = null_safe_join(_versions(source, keys, updated_at), marks, keys)
+    incoming = _versions(source, keys, updated_at).join(marks, keys, "left")
     is_newer = F.col("_open_at").isNull() | (F.col("updated_at") > F.col("_open_at"))
     slots = find_slots(source.select(*keys, updated_at), keys, updated_at, rows_per_slot)
     added = _chained(incoming.filter(is_newer), keys, slots)
 
-    arrived = null_safe_join(source.select(*keys, F.col(updated_at).alias("_at")), marks, keys)
+    arrived = source.select(*keys, F.col(updated_at).alias("_at")).join(marks, keys, "left")
     per_key = arrived.groupBy(*keys).agg(
         F.min(F.when(F.col("_at") > F.col("_open_at"), F.col("_at"))).alias("_closed_at"),
         F.first(F.lit(True)).alias("_seen"),
     )
     gone = F.col("_seen").isNull() & F.lit(hard_deletes)
     end = F.when(gone, as_of_timestamp(run_at)).otherwise(F.coalesce(F.col("_closed_at"), open_end()))
-    kept = null_safe_join(open_rows, per_key, keys).withColumn("valid_to", end)
+    kept = open_rows.join(per_key, keys, "left").withColumn("valid_to", end)
 
     closed = history.filter(~is_current())
     return closed.unionByName(kept.select(*columns)).unionByName(added.select(*columns))

@@ -141,6 +141,21 @@ def test_interrupted_merge_is_finished_first(spark):
     assert not path_exists(spark, stage)
 
 
+def test_unfinished_table_is_not_merged_into(spark):
+    root = scratch_dir(spark, "test")
+    rows = frame(spark, [("a", "de", 1, "t")])
+    rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/t")
+
+    def load(**how):
+        merge.load_incremental(spark, f"{root}/t", lambda loaded: rows, KEYS, ["country_code"], f"{root}/stage", **how)
+
+    with pytest.raises(RuntimeError, match="full refresh"):
+        load()
+    load(full_refresh=True)
+    load()
+    assert spark.read.parquet(f"{root}/t").count() == 1
+
+
 def test_incremental_load(spark):
     root = scratch_dir(spark, "test")
     source = [("a", "de", 1, "x"), ("b", "de", 2, "x")]

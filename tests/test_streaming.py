@@ -1,6 +1,7 @@
 """Landing, bronze and silver: replays, new files, new columns, crashes."""
 
 import shutil
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,8 @@ def test_drain_idle_new_file_new_column(lake, spark):
     assert lake.ingest() == bronze.IngestReport(1, 1)
     rows = bronze.read_bronze(spark, lake.bronze(), lake.mark("bronze"))
     got = {r.tag_id: r for r in rows.collect()}
+    future = datetime.now(timezone.utc) + timedelta(days=1)
+    assert bronze.read_bronze(spark, lake.bronze(), lake.mark("bronze"), future).isEmpty(), "old files are not opened"
     assert (got["a"].tag_creator_id, got["c"].tag_creator_id) == (None, "late column")
     assert got["a"].country_code == "de" and got["a"].input_file_name.endswith(".parquet") and got["a"].bronze_inserted_at
 

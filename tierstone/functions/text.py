@@ -11,8 +11,9 @@ from tierstone.functions.times import col_of
 # its ends, and the word that stands for "no value".
 DROPPED = "\r\n\t\u2028\u2029"
 WHITESPACE = (
-    r"\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 NULL_WORD = "null"
 
@@ -20,8 +21,10 @@ NULL_WORD = "null"
 def clean_str(value: Column | str) -> Column:
     """Drop line characters, trim Unicode whitespace; blank or 'null' becomes NULL."""
     flat = F.translate(col_of(value).cast("string"), DROPPED, "")
-    trimmed = F.regexp_replace(flat, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
-    return F.when((trimmed != "") & (F.lower(trimmed) != NULL_WORD), trimmed)
+    trimmed = F.btrim(flat, F.lit(WHITESPACE))
+    # One character more than the word is enough to tell it from longer values.
+    head = F.lower(F.substring(trimmed, 1, len(NULL_WORD) + 1))
+    return F.when(~head.isin("", NULL_WORD), trimmed)
 
 
 def is_filled(value: Column | str) -> Column:

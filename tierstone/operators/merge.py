@@ -9,6 +9,7 @@ set. Beyond that size the same joins run as sort-merge joins.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,13 +143,24 @@ def _in_partitions(df: DataFrame, columns: Sequence[str]) -> Column:
 
     The partition values come to the driver; their number is bounded by the table's layout.
     """
-    hit = F.lit(False)
+    tests = [F.lit(False)]
     for values in df.select(*columns).distinct().collect():
         same = F.lit(True)
         for name, value in values.asDict().items():
             same = same & F.col(name).eqNullSafe(F.lit(value))
-        hit = hit | same
-    return hit
+        tests.append(same)
+    while len(tests) > 1:  # pairwise, so that the expression stays shallow
+        tests = [a | b for a, b in zip_longest(tests[::2], tests[1::2], fillvalue=F.lit(False))]
+    return tests[0]
+
+
+def _has_table(spark: SparkSession, path: str) -> bool:
+    """Whether a finished table is there; an unfinished one needs a full refresh first."""
+    if not path_exists(spark, path):
+        return False
+    if not is_complete(spark, path):
+        raise RuntimeError(f"the last write of {path} did not finish; run a full refresh")
+    return True
 
 
 def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
@@ -164,7 +176,7 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequenc
     the next run publishes it first. ``stage`` belongs to the table.
     """
     finish_stage(spark, path, partition_by, stage)
-    if not path_exists(spark, path):
+    if not _has_table(spark, path):
         overwrite_table(source, path, partition_by)
         return
     source.write.parquet(f"{stage}/source")
@@ -183,7 +195,7 @@ def load_incremental(spark: SparkSession, path: str, build: Callable[[DataFrame
     ``full_refresh``, where it replaces the table.
     """
     finish_stage(spark, path, partition_by, stage)
-    if full_refresh or not path_exists(spark, path):
+    if full_refresh or not _has_table(spark, path):
         overwrite_table(build(None), path, partition_by)
     else:
         merge_table(spark, path, build(spark.read.parquet(path)), keys, partition_by, stage)

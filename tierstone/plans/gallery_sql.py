@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from tierstone.functions.keys import NULL_TOKEN
-from tierstone.functions.text import WHITESPACE
 from tierstone.plans.gallery import EVENTS_AS_OF, NOW, ORDERS_AS_OF, SPLIT
 
 OPEN = "TIMESTAMP '9999-12-31 00:00:00'"
@@ -343,6 +342,9 @@ FROM src s LEFT JOIN open_rows o ON s.tag_id = o.tag_id AND s.country_code = o.c
 WHERE o.tag_id IS NULL OR s.modified_at > o.updated_at"""
 
 
+WHITESPACE = r"\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+
 def clean(text: str) -> str:
     dropped = f"translate({text}, chr(13) || chr(10) || chr(9) || chr(8232) || chr(8233), '')"
     trimmed = f"regexp_replace({dropped}, '^[{WHITESPACE}]+|[{WHITESPACE}]+$', '', 'g')"
@@ -569,7 +571,8 @@ SQL: dict[str, str] = {
       UNION ALL SELECT 'hour_in_calendar', 'warn', count(DISTINCT sk_date_time) FROM pay_fact
         WHERE sk_date_time NOT IN (SELECT sk_date_time FROM calendar WHERE timezone = 'Europe/Vienna')
       UNION ALL SELECT 'table_not_empty', 'error', CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM pay_fact""",
-    "stream_bronze": with_(ROUNDS_LOG) + f"SELECT {ROUND_COLUMNS} FROM rounds_log",
+    "stream_bronze": with_(ROUNDS_LOG) + f"""SELECT * REPLACE (CASE WHEN NOT ({EARLY}) THEN win_count END AS win_count)
+      FROM (SELECT {ROUND_COLUMNS} FROM rounds_log)""",
     "stream_silver": with_(ROUNDS) + f"SELECT {ROUND_COLUMNS}, TIMESTAMP '{NOW}' AS last_update FROM rounds",
     "stream_metrics": with_(SPLIT_ROUNDS) + f"""
       SELECT 1 AS landing, b.country_code, (SELECT count(*) FROM rounds_log r WHERE {EARLY} AND r.country_code = b.country_code) AS rows_ingested,

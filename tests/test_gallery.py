@@ -12,7 +12,7 @@ import pytest
 import __spark_entry__ as spark_entry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = spark_entry.queries(), spark_entry.oracle_sql()
+QUERIES, SQL = spark_entry.QUERIES, spark_entry.SQL
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +22,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(spark_entry.queries()) and set(SQL) <= set(spark_entry.oracle_sql())
 
 
 def test_entry(spark):

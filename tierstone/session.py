@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +48,17 @@ def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for functions that run in Python there."""
+    context = spark.sparkContext
+    if getattr(context, "_tierstone_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tierstone-")) / "tierstone.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent).as_posix())
+    context.addPyFile(str(archive))
+    context._tierstone_shipped = True

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import block_naming, packing, snapshot_collapse, wu_manber
+from tierstone.llm import block_naming, compression_toxicity, html_regions, packing, snapshot_collapse, wu_manber
+from tierstone.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,6 +20,7 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -45,3 +47,14 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_regions.extract(table(spark, folder, "pages"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return compression_toxicity.score(docs, compression_toxicity.fit(docs, table(spark, folder, "labels")))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import block_naming, bwt_repeats, compression_toxicity, html_regions, order_minhash, packing, snapshot_collapse, wu_manber
+from tierstone.llm import block_naming, bwt_repeats, compression_toxicity, gru_lm, html_regions, order_minhash, packing, snapshot_collapse, wu_manber
 from tierstone.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,8 @@ def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = bwt_repeats.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("runs").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return gru_lm.score(table(spark, folder, "documents"))

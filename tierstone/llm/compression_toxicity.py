@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -151,24 +152,30 @@ def logistic(features: np.ndarray, labels: np.ndarray, penalty: float = 0.1, ste
 def fit(docs: DataFrame, labels: DataFrame) -> Distance:
     """Dictionaries and curve from labelled rows outside the held-out fold."""
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    rows = rows.where(~held_out(F.col("doc_id"))).join(marks, "doc_id")
-    rows = rows.withColumn("turn", F.xxhash64("doc_id"))
+    marks = marks.where(~held_out(F.col("doc_id"))).withColumn("turn", F.xxhash64("doc_id"))
     seen = fold(F.col("doc_id"), 2 * FOLDS) < FOLDS
-
-    def sample(part: DataFrame, n: int) -> list:
-        return part.orderBy("turn", "text").limit(n).select("text", "toxic").collect()
-
-    toxic = [bytes(r[0]) for r in sample(rows.where(seen & (F.col("toxic") == 1)), SAMPLE["toxic"])]
-    ordinary = [bytes(r[0]) for r in sample(rows.where(seen & (F.col("toxic") == 0)), SAMPLE["ordinary"])]
+    parts = {
+        "toxic": marks.where(seen & (F.col("toxic") == 1)), "ordinary": marks.where(seen & (F.col("toxic") == 0)),
+        "calibration": marks.where(~seen),
+    }
+    # Only the drawn ids meet the texts; their number is bounded, so they are broadcast.
+    drawn = [
+        part.orderBy("turn", "doc_id").limit(SAMPLE[name]).select("doc_id", "toxic", F.lit(name).alias("part"))
+        for name, part in parts.items()
+    ]
+    drawn = F.broadcast(reduce(DataFrame.unionByName, drawn))
+    texts: dict[str, list] = {name: [] for name in parts}
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text")).join(drawn, "doc_id")
+    for row in sorted(found.select("part", "doc_id", "text", "toxic").collect()):
+        texts[row["part"]].append((bytes(row["text"]), row["toxic"]))
+    toxic, ordinary = ([text for text, _ in texts[name]] for name in ("toxic", "ordinary"))
     if not toxic or not ordinary:
         return Distance(b"", b"")
     typical = typical_windows(toxic, ordinary)
     model = Distance(trained_dictionary(ordinary, DICTIONARY_BYTES), b"".join((b" " + w) * TIMES for w in typical))
-    unseen = sample(rows.where(~seen), SAMPLE["calibration"])
-    if unseen:
-        features = np.array([model.features(bytes(r[0])) for r in unseen])
-        model.weights = logistic(features, np.array([r[1] for r in unseen], float))
+    if unseen := texts["calibration"]:
+        features = np.array([model.features(text) for text, _ in unseen])
+        model.weights = logistic(features, np.array([mark for _, mark in unseen], float))
     return model
 
 

@@ -1,0 +1,56 @@
+import random
+import zlib
+
+import frames
+
+from tierstone.llm import compression_toxicity as C
+
+MARKED = ["vilewort", "badstuff", "nastily", "foulname"]
+
+
+def corpus(n):
+    rng, rows, marks = random.Random(8), [], []
+    for k in range(n):
+        words, toxic = frames.sentence(rng, rng.randrange(30, 120)), int(k % 5 == 0)
+        for _ in range(rng.randrange(2, 6) * toxic):
+            words.insert(rng.randrange(len(words)), rng.choice(MARKED) + rng.choice(["", ".", ","]))
+        rows.append((k, " ".join(words)))
+        marks.append((k, 1, toxic))
+    return rows, marks
+
+
+def table_of_labels(spark, marks):
+    return spark.createDataFrame([(*m, "x") for m in marks], "doc_id bigint, quality int, toxic int, text string")
+
+
+def test_held_out_accuracy_and_fold(spark):
+    rows, marks = corpus(800)
+    docs, labels = frames.docs(spark, rows), table_of_labels(spark, [*marks, (None, 1, 1), (3, 1, None)])
+    found = C.score(docs, C.fit(docs, labels)).collect()
+    truth = {i: t for i, _, t in marks}
+    held = [r for r in found if r["held_out"]]
+    assert {r["doc_id"] for r in held} == {i for i, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) >= 0.97 * len(held)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in found)
+
+
+def test_held_out_labels_are_not_used(spark):
+    rows, marks = corpus(300)
+    docs = frames.docs(spark, rows)
+    flipped = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 4 == 2 else t) for i, q, t in marks]
+    scores = [frames.rows_of(C.score(docs, C.fit(docs, table_of_labels(spark, m)))) for m in (marks, flipped)]
+    assert scores[0] == scores[1]
+
+
+def test_odd_rows(spark):
+    rows, marks = corpus(200)
+    docs = frames.docs(spark, rows + frames.ODD + [(900, "word " * 50000 + "vilewort badstuff nastily")])
+    model = C.fit(docs, table_of_labels(spark, marks))
+    found = C.score(docs, model).collect()
+    assert len(found) == 200 + len(frames.ODD) + 1 and all(0 <= r["score"] <= 1 for r in found)
+    assert [r["predicted"] for r in found if r["doc_id"] == 900] == [1]
+    left = C.drop_toxic(docs, model)
+    assert left.columns == docs.columns and left.count() == sum(1 - r["predicted"] for r in found)
+    none = table_of_labels(spark, [])
+    assert {r["predicted"] for r in C.score(docs, C.fit(docs, none)).collect()} == {0}
+    assert C.score(docs.limit(0), C.fit(docs.limit(0), none)).collect() == []

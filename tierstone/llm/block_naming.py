@@ -107,21 +107,26 @@ def document_names(
         )
 
 
+def _grouped(named: DataFrame) -> DataFrame:
+    groups = named.groupBy("name").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    return named.join(groups, "name").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+
+
 def groups_of_equal_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES, **options) -> DataFrame:
     """One row per input row: doc_id, sha, keep_id, group_size, kept."""
-    named = document_names(docs, block_bytes, **options)
-    groups = named.groupBy("name").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    rows = named.join(groups, "name").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
-    return rows.select(*ROW, "keep_id", "group_size", kept.alias("kept"))
+    rows = _grouped(document_names(docs, block_bytes, **options))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return rows.select(*ROW, "keep_id", "group_size", (F.col("kept") & (F.col("copy") == 1)).alias("kept"))
 
 
 def drop_exact_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents that stay, with all their columns."""
-    stays = materialise(groups_of_equal_texts(docs, block_bytes).where("kept").select(*ROW), "exact-kept")
+    stays = materialise(_grouped(document_names(docs, block_bytes)).where("kept").select(*ROW, "copies"), "exact-kept")
     keyed = docs.withColumn("__sha", F.unhex(F.sha2(normalised(F.col("text")).cast("binary"), 256)))
-    stays = stays.select(F.col("doc_id").alias("__doc_id"), F.col("sha").alias("__sha_kept"))
-    same = keyed["doc_id"].eqNullSafe(stays["__doc_id"]) & (keyed["__sha"] == stays["__sha_kept"])
-    left = keyed.join(stays, same, "left_semi")
-    # Rows alike in id and text cannot be told apart by the join: one of them stays.
-    return left.dropDuplicates(["doc_id", "__sha"]).drop("__sha")
+    wanted = stays.select(F.col("doc_id").alias("__doc_id"), F.col("sha").alias("__sha_kept"))
+    same = keyed["doc_id"].eqNullSafe(wanted["__doc_id"]) & (keyed["__sha"] == wanted["__sha_kept"])
+    left = keyed.join(wanted, same, "left_semi")
+    if not stays.where("copies > 1").isEmpty():
+        # Rows alike in id and text cannot be told apart by the join: one of them stays.
+        left = left.dropDuplicates(["doc_id", "__sha"])
+    return left.drop("__sha")

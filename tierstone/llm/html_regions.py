@@ -3,8 +3,9 @@
 The standard library's parser streams over the page. Block-level tags cut the text into
 lines; each line has the number of its characters and of the tags in it. The ratios of
 the two, smoothed by a Gaussian over the neighbouring lines, are clustered by a threshold
-(a share of their standard deviation): lines above it are content. A content line selects
-its region: the article or main element around it, or else its parent element. All lines
+(a share of their standard deviation): lines above it are content. A region, the article or
+main element around a line or else its parent element, is selected when it holds content
+lines and its own ratio reaches the threshold. All lines
 of the selected regions are kept, so short lines inside an article stay. Elements that
 never hold main text (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 reader comments) are left out beforehand, by tag name or by the words of class, id, role.
@@ -129,10 +130,18 @@ def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(np.pad(values, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
-def content_lines(lines: list[tuple[str, int, int, int]], sigma: float, share: float) -> np.ndarray:
-    """Which lines are content by their smoothed text-to-tag ratio."""
+def content_regions(lines: list[tuple[str, int, int, int]], place: int, sigma: float, share: float) -> set[int]:
+    """Regions that hold a content line and whose own text-to-tag ratio is that of content."""
     ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, _, _ in lines], float), sigma)
-    return ratios >= min(share * ratios.std(), ratios.max())
+    least = min(share * ratios.std(), ratios.max())
+    chars, tags, found = {}, {}, set()
+    for line, ratio in zip(lines, ratios):
+        region = line[place]
+        chars[region] = chars.get(region, 0) + len(line[0])
+        tags[region] = tags.get(region, 0) + line[1]
+        if ratio >= least:
+            found.add(region)
+    return {region for region in found if chars[region] >= least * max(1, tags[region])} or found
 
 
 def main_text(html: str | None, sigma: float = SIGMA, share: float = THRESHOLD) -> str:
@@ -144,12 +153,11 @@ def main_text(html: str | None, sigma: float = SIGMA, share: float = THRESHOLD)
     lines = parser.finish()
     if not lines:
         return ""
-    content = content_lines(lines, sigma, share)
     regions = {line[2] for line in lines if line[2]}
     place = 2 if regions else 3
-    chosen = {line[place] for line, good in zip(lines, content) if good} & (regions or {line[3] for line in lines})
-    kept = [line[0] for line in lines if line[place] in (chosen or regions)]
-    return "\n\n".join(kept)
+    chosen = content_regions(lines, place, sigma, share)
+    chosen = (chosen & regions or regions) if regions else chosen
+    return "\n\n".join(line[0] for line in lines if line[place] in chosen)
 
 
 def extract(pages: DataFrame, sigma: float = SIGMA, share: float = THRESHOLD) -> DataFrame:

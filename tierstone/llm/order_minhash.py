@@ -219,18 +219,21 @@ def _with_roots(buckets: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One row per input row: doc_id, text_key, class_id (smallest doc_id of its class)."""
+    """One row per input row: doc_id, text_key, class_id (smallest doc_id of its class), kept.
+
+    ``kept`` marks the row that stays for its class; rows alike in doc_id and text share it.
+    """
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     drawn = materialise(keyed.mapInArrow(
         _sketch, "doc_id bigint, text_key bigint, node binary, n bigint, sketches array<bigint>"), "sketches")
     nodes = drawn.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("id"), F.min(F.struct("doc_id", "text_key")).alias("first"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
+        F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_key")).alias("first"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
     entries = nodes.select("node", "n", F.posexplode("sketches").alias("band", "key"))
     shared = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre")).where("size > 1")
     buckets = materialise(entries.join(shared, ["band", "key"]).select("band", "key", "node", "n", "centre"), "buckets")
 
     wanted = buckets.select("node").distinct()
-    places = nodes.select("node", "first.*").join(wanted, "node").withColumnRenamed("doc_id", "first_id")
+    places = nodes.select("node", "first.doc_id", "first.text_key").join(wanted, "node").withColumnRenamed("doc_id", "first_id")
     found = keyed.withColumn("text", F.coalesce("text", F.lit("")))
     texts = materialise(
         found.join(places, (found["doc_id"].eqNullSafe(places["first_id"])) & (found["text_key"] == places["text_key"]))
@@ -271,9 +274,25 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         done = chosen.select("band", "key", F.col("a").alias("node"))
         open_buckets = rooted.drop("root").join(done, ["band", "key", "node"], "left_anti")
 
-    classed = _with_roots(nodes.select("node", "id"), roots)
-    classes = classed.groupBy("root").agg(F.min("id").alias("class_id"))
-    named = classed.join(classes, "root").select("node", "class_id")
-    with_words = drawn.where("node is not null").join(named, "node").select("doc_id", "text_key", "class_id")
-    without = drawn.where("node is null").select("doc_id", "text_key", F.col("doc_id").alias("class_id"))
+    classed = _with_roots(nodes.select("node", "first"), roots)
+    classes = classed.groupBy("root").agg(F.min("first").alias("stays"))
+    named = classed.join(classes, "root").select("node", "stays")
+    same = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("text_key") == F.col("stays.text_key"))
+    with_words = drawn.where("node is not null").join(named, "node").select(
+        "doc_id", "text_key", F.col("stays.doc_id").alias("class_id"), same.alias("kept"))
+    without = drawn.where("node is null").select("doc_id", "text_key", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"))
     return with_words.unionByName(without)
+
+
+def drop_near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """One document of each class, with all its columns."""
+    rows = near_copies(docs, least).where("kept").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
+    rows = materialise(rows, "near-kept")
+    stays = rows.select("doc_id", "text_key").toDF("__kept_id", "__kept_key")
+    keyed = docs.withColumn("__text_key", F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(stays["__kept_id"]) & (keyed["__text_key"] == stays["__kept_key"])
+    left = keyed.join(stays, same, "left_semi")
+    if not rows.where("copies > 1").isEmpty():
+        # Rows alike in id and text cannot be told apart by the join: one of them stays.
+        left = left.dropDuplicates(["doc_id", "__text_key"])
+    return left.drop("__text_key")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import block_naming, bwt_repeats, compression_toxicity, gru_lm, html_regions, order_minhash, packing, snapshot_collapse, wu_manber
+from tierstone.llm import block_naming, bwt_repeats, compression_toxicity, gru_lm, html_regions, order_minhash, packing, site_quality, snapshot_collapse, wu_manber
 from tierstone.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,7 +64,7 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: the smallest doc_id of its near-copy class, and whether it is the one that stays."""
     found = order_minhash.near_copies(table(spark, folder, "documents"))
-    return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    return found.select("doc_id", "class_id", "kept")
 
 
 @query
@@ -76,3 +76,10 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return gru_lm.score(table(spark, folder, "documents"))
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """The source of a document is its host, the language its path."""
+    return site_quality.classify(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), F.col("source"), F.coalesce("lang", F.lit("")))

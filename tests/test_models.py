@@ -204,12 +204,17 @@ def test_player_summary(spark, people):
 
 
 def test_player_summary_increment(spark, people):
-    loaded = spark.createDataFrame([(datetime(2024, 1, 5), datetime(2024, 1, 5))], "source_updated_at timestamp, tag_updated_at timestamp")
+    loaded = spark.createDataFrame([(datetime(2024, 1, 5), datetime(2024, 1, 5))], "source_updated_at timestamp, tag_changed_at timestamp")
     changed = {r.online_customer_id for r in marts.player_summary(*people, loaded).collect()}
     assert changed == {"profile", "tagged"}, "a deactivated tag counts as a change"
     assert marts.player_summary(*people, loaded.limit(0)).count() == 4
 
 
+def test_a_second_run_on_the_own_output_is_quiet(spark, people):
+    loaded = marts.player_summary(*people, sent_at="2024-03-01 00:00:00")
+    assert marts.player_summary(*people, loaded).count() == 0, "the newest change is a deactivation"
+
+
 def test_tag_rollup_is_sorted(spark, people):
     row = marts.tag_rollup(people[1]).filter("player_id = 'quiet'").first()
     assert [t.tag_category for t in row.tag_categories] == ["CASINO", "VIP"]

@@ -1,5 +1,7 @@
 """Landing, bronze and silver: replays, new files, new columns, crashes."""
 
+import os
+import pathlib
 import shutil
 from datetime import datetime, timedelta, timezone
 
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tierstone.contracts import contract
 from tierstone.session import scratch_dir
-from tierstone.sources.tables import has_files, is_complete
+from tierstone.sources.tables import child_names, has_files, is_complete
 from tierstone.streaming import bronze, silver
 
 SPEC = contract("ig_player_tag")
@@ -94,13 +96,98 @@ def test_replayed_batch_changes_nothing(lake, spark):
     before = lake.rows()
     shutil.rmtree(f"{lake.mark('silver')}/stream".removeprefix("file:"))  # forget the progress, keep the stage
     report = lake.merge()
-    assert lake.rows() == before and report.inserted == 2
+    assert lake.rows() == before and (report.inserted, report.unchanged) == (0, 2)
     report = silver.UpsertReport()
     batch = bronze.read_bronze(spark, lake.bronze(), lake.mark("bronze"))
     silver.upsert_batch(SPEC, "de", lake.silver, f"{lake.root}/other-stage", report)(batch, 7)
     assert lake.rows() == before and (report.inserted, report.unchanged) == (0, 2)
 
 
+def test_reset_checkpoint_with_new_rows_uses_no_old_stage(lake, spark):
+    lake.land([("a", "1", 1, "x"), ("b", "1", 1, "x")])
+    lake.ingest()
+    lake.merge()
+    shutil.rmtree(f"{lake.mark('silver')}/stream".removeprefix("file:"))
+    lake.land([("a", "2", 1, "y")])
+    lake.ingest()
+    lake.merge()
+    assert lake.rows() == [("a", "de", 2, "y"), ("b", "de", 1, "x")]
+    stage = f"{lake.mark('silver')}/stage"
+    assert len(child_names(spark, stage)) == 1 and len(child_names(spark, f"{stage}/{child_names(spark, stage)[0]}")) == 1
+
+
+def _rows_of(lake, spark):
+    return {r.tag_id: r for r in bronze.read_bronze(spark, lake.bronze(), lake.mark("bronze")).collect()}
+
+
+def test_an_old_file_with_a_new_column_keeps_it(lake, spark):
+    lake.land([("a", "1", 1, "x")])
+    lake.ingest()
+    lake.land([("b", "1", 1, "x")], late="kept")
+    folder = pathlib.Path(lake.landing().removeprefix("file:"))
+    for path in folder.glob("*.parquet"):
+        os.utime(path, (0, path.stat().st_mtime - 3 * 3600))
+    assert lake.ingest() == bronze.IngestReport(1, 1)
+    assert _rows_of(lake, spark)["b"].late == "kept"
+
+
+def test_a_file_that_lands_during_the_run_keeps_its_columns(lake, spark, monkeypatch):
+    lake.land([("a", "1", 1, "x")])
+    before = bronze.has_files
+
+    def late(*args):
+        found = before(*args)
+        lake.land([("b", "1", 1, "x")], late="kept")
+        return found
+
+    monkeypatch.setattr(bronze, "has_files", late)
+    assert lake.ingest() == bronze.IngestReport(2, 2)
+    assert _rows_of(lake, spark)["b"].late == "kept"
+
+
+def test_types_widen_and_misfits_are_kept_as_text(lake, spark):
+    def land(value, kind):
+        spark.createDataFrame([(kind, value)], f"tag_id string, amount {kind}").coalesce(1).write.mode("append").parquet(lake.landing())
+
+    land(1, "int")
+    lake.ingest()
+    land(2**40, "long")
+    land(7, "int")
+    lake.ingest()
+    got = bronze.read_bronze(spark, lake.bronze(), lake.mark("bronze")).select("amount").collect()
+    assert sorted(r[0] for r in got) == [1, 7, 2**40]
+    land("many", "string")
+    lake.ingest()
+    got = bronze.read_bronze(spark, lake.bronze(), lake.mark("bronze")).select("amount", "amount_as_text").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, None), (2**40, None), (7, None), (None, "many")], key=repr)
+
+
+def test_nested_landing_folders_are_read(lake, spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "tag_id string, version int")
+    rows.coalesce(1).write.parquet(f"{lake.landing()}/2024/01/01")
+    rows.withColumn("day", F.lit("2024-01-02")).write.partitionBy("day").mode("append").parquet(lake.landing())
+    assert lake.ingest().rows == 4
+    days = bronze.read_bronze(spark, lake.bronze(), lake.mark("bronze")).groupBy("day").count().collect()
+    assert sorted((str(r[0]), r[1]) for r in days) == [("2024-01-02", 2), ("None", 2)]
+
+
+def test_replayed_load_is_counted_and_not_doubled(lake, spark, monkeypatch):
+    lake.land([("a", "1", 1, "x"), ("b", "1", 1, "x")])
+    count = bronze._read_folder
+
+    def crash(*args):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(bronze, "_read_folder", crash)
+        with pytest.raises(Exception, match="driver lost"):
+            lake.ingest()
+    assert bronze._read_folder is count
+    assert lake.ingest() == bronze.IngestReport(2, 1)
+    assert sorted(_rows_of(lake, spark)) == ["a", "b"]
+    assert bronze.read_bronze(spark, lake.bronze(), lake.mark("bronze")).count() == 2
+
+
 def test_crash_between_stage_and_table_loses_nothing(lake, spark, monkeypatch):
     lake.land([("a", "1", 1, "x")])
     lake.ingest()
@@ -127,9 +214,10 @@ def test_malformed_values_are_quarantined(lake, spark):
     lake.ingest()
     lake.merge(mode="try")
     assert lake.rows() == [("a", "de", 1, "x"), ("b", "de", None, "x")]
-    kept = spark.read.parquet(f"{lake.mark('silver')}/stage/quarantine/batch=0")
+    query = child_names(spark, f"{lake.mark('silver')}/stage/quarantine")[0]
+    kept = spark.read.parquet(f"{lake.mark('silver')}/stage/quarantine/{query}/batch=0")
     assert [(r.tag_id, r.version) for r in kept.collect()] == [("b", "oops")]
-    assert is_complete(spark, f"{lake.mark('silver')}/stage/batch=0/changes")
+    assert is_complete(spark, f"{lake.mark('silver')}/stage/{query}/batch=0/changes")
 
 
 def test_small_batches_give_the_same_table(lake):

@@ -9,23 +9,24 @@ from pyspark.sql import functions as F
 
 from tierstone.functions.times import as_of_date, col_of, hour_key_floor
 
-EPOCH = "1970-01-01"
-
 
 def watermark(target: DataFrame, column: str) -> DataFrame:
-    """One row: the largest value loaded so far, the epoch for an empty target."""
-    kind = target.schema[column].dataType
-    return target.agg(F.coalesce(F.max(column), F.lit(EPOCH).cast(kind)).alias("watermark"))
+    """One row: the largest value loaded so far, NULL where there is none."""
+    return target.agg(F.max(column).alias("watermark"))
 
 
 def above_watermark(source: DataFrame, target: DataFrame, column: str = "updated_at",
                     inclusive: bool = False) -> DataFrame:
-    """Source rows newer than anything in the target.
+    """Source rows newer than anything in the target; all rows if the target has no mark.
 
     The mark stays a scalar subquery inside the plan, in the bare form Spark pushes to
-    the scan. ``inclusive`` also re-reads rows that tie with the mark, which is safe in
-    front of a merge.
+    the scan; whether there is one is asked beforehand, so a first load has no filter and
+    loses neither NULL nor old times. Against a mark NULL times are not newer.
+    ``inclusive`` also re-reads rows that tie with the mark, which is safe in front of a
+    merge.
     """
+    if target.where(F.col(column).isNotNull()).isEmpty():
+        return source
     mark = watermark(target, column).scalar()
     return source.filter(F.col(column) >= mark if inclusive else F.col(column) > mark)
 

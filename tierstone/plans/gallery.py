@@ -469,6 +469,15 @@ def high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
     return incremental.above_watermark(rows, loaded, "created_at").select("payment_id", "created_at")
 
 
+@entry_point
+def high_water_mark_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """A first load: rows without a time and from before 1970 are loaded too."""
+    last = F.right("payment_id", F.lit(1))
+    rows = warehouse.payments(spark, folder).select("payment_id", F.when(last == "7", F.lit("1960-05-01").cast("timestamp"))
+                                                    .when(last != "3", F.col("created_at")).alias("created_at"))
+    return incremental.above_watermark(rows, rows.filter("false"), "created_at")
+
+
 @entry_point
 def lookback_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     rows = incremental.since_lookback(warehouse.transactions(spark, folder), "created_at", 2, EVENTS_AS_OF)
@@ -484,8 +493,15 @@ def lookback_hour_key(spark: SparkSession, folder: str) -> DataFrame:
 # --- player summary and outbox -----------------------------------------------------------------
 
 
-def _before_split(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("updated_at") < F.lit(SPLIT).cast("timestamp"))
+def _histories(spark: SparkSession, folder: str, before: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Player and tag histories, of all changes or of those before a time."""
+    logs = []
+    for log, keys, at in ((warehouse.players_log, PLAYER_KEYS, "changed_at"), (warehouse.tags_log, TAG_KEYS, "modified_at")):
+        rows = log(spark, folder)
+        if before is not None:
+            rows = rows.filter(F.col(at) < F.lit(before).cast("timestamp"))
+        logs.append(materialise(history.build_history(rows, keys, at), "history"))
+    return logs[0], logs[1]
 
 
 def staged_outbox(spark: SparkSession, folder: str) -> DataFrame:
@@ -501,18 +517,14 @@ def tag_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("tag_categories", F.array_join(names, ","))
 
 
-def _loaded_earlier(players: DataFrame, tagged: DataFrame) -> DataFrame:
-    """What an earlier load had staged: its change times."""
-    return (_before_split(players).select(F.col("updated_at").alias("source_updated_at"))
-            .unionByName(_before_split(tagged).select(F.col("updated_at").alias("tag_updated_at")),
-                         allowMissingColumns=True))
+def _loaded_earlier(spark: SparkSession, folder: str) -> DataFrame:
+    """The outbox that the model had staged before the split."""
+    return materialise(marts.player_summary(*_histories(spark, folder, SPLIT), sent_at=NOW), "outbox")
 
 
 @entry_point
 def changed_entities(spark: SparkSession, folder: str) -> DataFrame:
-    players = materialise(player_history(spark, folder), "players")
-    tagged = materialise(tag_history(spark, folder), "tags")
-    return marts.changed_players(players, tagged, _loaded_earlier(players, tagged))
+    return marts.changed_players(*_histories(spark, folder), _loaded_earlier(spark, folder))
 
 
 @entry_point
@@ -522,10 +534,25 @@ def player_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @entry_point
 def player_summary_increment(spark: SparkSession, folder: str) -> DataFrame:
-    players = materialise(player_history(spark, folder), "players")
-    tagged = materialise(tag_history(spark, folder), "tags")
-    rows = marts.player_summary(players, tagged, _loaded_earlier(players, tagged), sent_at=NOW)
-    return rows.select("online_customer_id", "country_code", "payload_json", "tag_updated_at")
+    return marts.player_summary(*_histories(spark, folder), _loaded_earlier(spark, folder), sent_at=NOW)
+
+
+@entry_point
+def outbox_cycle(spark: SparkSession, folder: str) -> DataFrame:
+    """The outbox as a table: staged, delivered, staged for later changes, and a quiet last run."""
+    root = scratch_dir(spark, "outbox")
+    path, keys = f"{root}/outbox", list(outbox.OUTBOX_KEYS)
+
+    def fold(rows: DataFrame, step: str) -> DataFrame:
+        merge.merge_table(spark, path, materialise(rows, step), keys, ["country_code"], f"{root}/stage-{step}")
+        return read_table(spark, path)
+
+    now = _histories(spark, folder)
+    stored = fold(_loaded_earlier(spark, folder), "first")
+    stored = fold(outbox.apply_results(stored, delivery_results(spark, folder), now=NOW), "delivered")
+    stored = fold(marts.player_summary(*now, stored, sent_at=NOW), "changed")
+    again = marts.player_summary(*now, stored, sent_at=NOW).count()
+    return stored.withColumn("staged_again", F.lit(again).cast("bigint"))
 
 
 @entry_point
@@ -726,6 +753,20 @@ def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
     return streams.bronze_rows().drop(bronze.FILE_COLUMN, bronze.TIME_COLUMN)
 
 
+@entry_point
+def stream_evolution(spark: SparkSession, folder: str) -> DataFrame:
+    """A new column, a widened number, and a column whose type changes altogether."""
+    streams = RoundStreams(spark, folder)
+    early, late = _drops(spark, folder)
+    text = F.concat(F.lit("closed "), F.col("is_closed").cast("string"))
+    streams.land(late.withColumn("bet_count", F.col("bet_count").cast("long")))
+    streams.for_each_country(streams.ingest)
+    streams.land(early.drop("win_count").withColumns({"bet_count": F.col("bet_count").cast("int"), "is_closed": text}))
+    streams.for_each_country(streams.ingest)
+    streams.for_each_country(streams.ingest)
+    return streams.bronze_rows().drop(bronze.FILE_COLUMN, bronze.TIME_COLUMN)
+
+
 @entry_point
 def stream_silver(spark: SparkSession, folder: str) -> DataFrame:
     """Each landing drained into bronze and folded into silver."""

@@ -357,6 +357,9 @@ rollup AS (
     max(updated_at) AS tag_updated_at
   FROM tag_history WHERE valid_to = {OPEN} AND target_type = 'User' AND is_active = 1
   GROUP BY player_id, country_code),
+tag_marks AS (
+  SELECT player_id, country_code, max(updated_at) AS tag_changed_at
+  FROM tag_history WHERE valid_to = {OPEN} AND target_type = 'User' GROUP BY player_id, country_code),
 summary AS (
   SELECT p.player_id AS online_customer_id, p.country_code,
     json_object('collection', 'PlayerSummary', 'playerId', p.player_id,
@@ -365,18 +368,22 @@ summary AS (
         'playerAlias', {clean('player_alias')}, 'isVerified', is_verified,
         'createdOn', strftime(created_at, '%Y-%m-%dT%H:%M:%S.000Z')),
       'sentAt', strftime(TIMESTAMP '{NOW}', '%Y-%m-%dT%H:%M:%S.000Z')) AS payload_json,
-    p.updated_at AS source_updated_at, r.tag_updated_at,
+    p.updated_at AS source_updated_at, r.tag_updated_at, m.tag_changed_at,
     {clean('player_alias')} AS player_alias, {clean('region_code')} AS region_code,
     {clean('account_tier')} AS account_tier, is_verified
   FROM player_history p LEFT JOIN rollup r ON r.player_id = p.player_id AND r.country_code = p.country_code
+    LEFT JOIN tag_marks m ON m.player_id = p.player_id AND m.country_code = p.country_code
   WHERE p.valid_to = {OPEN})"""
 
 CHANGED = f"""changed AS (
   SELECT player_id, country_code FROM player_history WHERE valid_to = {OPEN}
-    AND updated_at > (SELECT max(updated_at) FROM player_history WHERE updated_at < TIMESTAMP '{SPLIT}')
+    AND coalesce(updated_at > (SELECT max(updated_at) FROM player_history WHERE updated_at < TIMESTAMP '{SPLIT}'), true)
   UNION
   SELECT player_id, country_code FROM tag_history WHERE valid_to = {OPEN} AND target_type = 'User'
-    AND updated_at > (SELECT max(updated_at) FROM tag_history WHERE updated_at < TIMESTAMP '{SPLIT}'))"""
+    AND coalesce(updated_at > (SELECT max(t.updated_at) FROM tag_history t
+      WHERE t.updated_at < TIMESTAMP '{SPLIT}' AND t.valid_to >= TIMESTAMP '{SPLIT}' AND t.target_type = 'User'
+        AND EXISTS (SELECT 1 FROM player_history p WHERE p.player_id = t.player_id AND p.country_code = t.country_code
+          AND p.updated_at < TIMESTAMP '{SPLIT}')), true))"""
 
 ATTEMPTS = f"""attempts AS (
   SELECT event_id, CAST(user_id AS VARCHAR) AS online_customer_id, {country('user_id')} AS country_code,
@@ -518,6 +525,8 @@ SQL: dict[str, str] = {
       GROUP BY ALL""",
     "high_water_mark": with_(PAY) + f"""SELECT payment_id, created_at FROM pay
       WHERE created_at > (SELECT max(created_at) FROM pay WHERE created_at < TIMESTAMP '{SPLIT}')""",
+    "high_water_mark_empty": with_(PAY) + """SELECT payment_id, CASE right(payment_id, 1) WHEN '3' THEN NULL
+      WHEN '7' THEN TIMESTAMP '1960-05-01' ELSE created_at END AS created_at FROM pay""",
     "lookback_timestamp": with_(TXN) + f"""SELECT transaction_id, created_at, CAST(amount_eur AS DOUBLE) AS amount_eur
       FROM txn WHERE {SINCE_EVENTS}""",
     "lookback_hour_key": with_(PAY_FACT) + f"""SELECT sk_payment, sk_date_time, amount_eur FROM pay_fact
@@ -526,8 +535,13 @@ SQL: dict[str, str] = {
     "changed_entities": with_(SUMMARY, CHANGED) + "SELECT * FROM changed",
     "player_summary": with_(SUMMARY) + """SELECT *, CAST(NULL AS TIMESTAMP) AS dispatched_at,
       CAST(NULL AS VARCHAR) AS dispatch_error FROM summary""",
-    "player_summary_increment": with_(SUMMARY, CHANGED) + """SELECT online_customer_id, s.country_code, payload_json, tag_updated_at
-      FROM summary s JOIN changed c ON c.player_id = s.online_customer_id AND c.country_code = s.country_code""",
+    "player_summary_increment": with_(SUMMARY, CHANGED) + """SELECT s.*, CAST(NULL AS TIMESTAMP) AS dispatched_at,
+      CAST(NULL AS VARCHAR) AS dispatch_error FROM summary s JOIN changed c ON c.player_id = s.online_customer_id AND c.country_code = s.country_code""",
+    "outbox_cycle": with_(OUTBOX, CHANGED) + f"""SELECT s.*,
+      CASE WHEN c.player_id IS NULL AND r.ok THEN TIMESTAMP '{NOW}' END AS dispatched_at,
+      CASE WHEN c.player_id IS NULL AND NOT r.ok THEN substr(r.error, 1, 2000) END AS dispatch_error, CAST(0 AS BIGINT) AS staged_again
+      FROM summary s LEFT JOIN results r ON r.online_customer_id = s.online_customer_id AND r.country_code = s.country_code
+      LEFT JOIN changed c ON c.player_id = s.online_customer_id AND c.country_code = s.country_code""",
     "outbox_classify": with_(ATTEMPTS) + f"""SELECT event_id, online_customer_id, country_code, status, attempt, attempted_at,
       CASE WHEN status = 200 THEN 'sent' WHEN {FINAL_STATUS} THEN 'dead_letter' ELSE 'retry' END AS outcome,
       CASE WHEN status = 200 OR {FINAL_STATUS} THEN NULL WHEN status IN (401, 403) THEN 0
@@ -573,6 +587,10 @@ SQL: dict[str, str] = {
       UNION ALL SELECT 'table_not_empty', 'error', CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM pay_fact""",
     "stream_bronze": with_(ROUNDS_LOG) + f"""SELECT * REPLACE (CASE WHEN NOT ({EARLY}) THEN win_count END AS win_count)
       FROM (SELECT {ROUND_COLUMNS} FROM rounds_log)""",
+    "stream_evolution": with_(ROUNDS_LOG) + f"""SELECT * REPLACE (CASE WHEN NOT ({EARLY}) THEN win_count END AS win_count,
+        CASE WHEN NOT ({EARLY}) THEN is_closed END AS is_closed, CAST(bet_count AS BIGINT) AS bet_count),
+        CASE WHEN {EARLY} THEN 'closed ' || is_closed END AS is_closed_as_text
+      FROM (SELECT {ROUND_COLUMNS} FROM rounds_log)""",
     "stream_silver": with_(ROUNDS) + f"SELECT {ROUND_COLUMNS}, TIMESTAMP '{NOW}' AS last_update FROM rounds",
     "stream_metrics": with_(SPLIT_ROUNDS) + f"""
       SELECT 1 AS landing, b.country_code, (SELECT count(*) FROM rounds_log r WHERE {EARLY} AND r.country_code = b.country_code) AS rows_ingested,

@@ -55,28 +55,37 @@ def tag_rollup(tags: DataFrame) -> DataFrame:
     The set holds distinct categories only, so its size follows the category list, not
     the number of tag rows.
     """
-    active = (F.col("target_type") == USER_TARGET) & (F.col("is_active") == 1)
+    return tag_changes(tags).filter(F.size("tag_categories") > 0).drop("tag_changed_at")
+
+
+def tag_changes(tags: DataFrame) -> DataFrame:
+    """Per player with any tag: the active categories, their latest change, and the latest
+    change of all tags, which a deactivation moves too."""
+    active = F.col("is_active") == 1
     entry = F.struct(F.col("tag_category"), F.col("is_active"))
-    return current_rows(tags).filter(active).groupBy(*PLAYER).agg(
-        F.array_sort(F.collect_set(entry)).alias("tag_categories"),
-        F.max("updated_at").alias("tag_updated_at"),
+    return current_rows(tags).filter(F.col("target_type") == USER_TARGET).groupBy(*PLAYER).agg(
+        F.array_sort(F.collect_set(F.when(active, entry))).alias("tag_categories"),
+        F.max(F.when(active, F.col("updated_at"))).alias("tag_updated_at"),
+        F.max("updated_at").alias("tag_changed_at"),
     )
 
 
+def above_mark(rows: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
+    """Rows updated after the largest value of another table's column; all if it has none."""
+    if loaded.where(F.col(column).isNotNull()).isEmpty():
+        return rows
+    return rows.filter(F.col("updated_at") > watermark(loaded, column).scalar())
+
+
 def changed_players(players: DataFrame, tags: DataFrame, loaded: DataFrame) -> DataFrame:
     """Keys of players whose profile or tags changed since the last load.
 
-    Profile and tags are compared with a mark of their own. Tag changes are looked for
-    on all current tags, so a deactivated tag counts.
+    Profile and tags are compared with a mark of their own. Both the mark and the changes
+    go over all current user tags, so a deactivated tag is sent once and not again.
     """
-    player_mark = watermark(loaded, "source_updated_at").scalar()
-    tag_mark = watermark(loaded, "tag_updated_at").scalar()
-    by_profile = current_rows(players).filter(F.col("updated_at") > player_mark).select(*PLAYER)
-    by_tag = (
-        current_rows(tags)
-        .filter((F.col("target_type") == USER_TARGET) & (F.col("updated_at") > tag_mark))
-        .select(*PLAYER)
-    )
+    by_profile = above_mark(current_rows(players), loaded, "source_updated_at").select(*PLAYER)
+    user_tags = current_rows(tags).filter(F.col("target_type") == USER_TARGET)
+    by_tag = above_mark(user_tags, loaded, "tag_changed_at").select(*PLAYER)
     return by_profile.unionByName(by_tag).distinct()
 
 
@@ -90,13 +99,14 @@ def player_summary(players: DataFrame, tags: DataFrame, loaded: DataFrame | None
     current = current_rows(players)
     if loaded is not None:
         current = current.join(changed_players(players, tags, loaded), PLAYER, "left_semi")
-    rows = current.join(tag_rollup(tags).select(*PLAYER, "tag_updated_at"), PLAYER, "left")
+    rows = current.join(tag_changes(tags).select(*PLAYER, "tag_updated_at", "tag_changed_at"), PLAYER, "left")
     staged = rows.select(
         F.col("player_id").alias("online_customer_id"),
         TENANT,
         player_payload(sent_at=sent_at).alias("payload_json"),
         F.col("updated_at").alias("source_updated_at"),
         "tag_updated_at",
+        "tag_changed_at",
         *[clean_str(c).alias(c) for c in ("player_alias", "region_code", "account_tier")],
         "is_verified",
     )

@@ -27,12 +27,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly in ``path``."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def has_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> bool:
-    """Whether any file with the suffix lies directly in ``path``; stops at the first."""
+    """Whether any file with the suffix lies in ``path`` or below; stops at the first."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return False
-    listing = fs.listStatusIterator(p)
+    listing = fs.listFiles(p, True)
     while listing.hasNext():
         if listing.next().getPath().getName().endswith(suffix):
             return True

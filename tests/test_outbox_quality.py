@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierstone.operators import outbox, quality
-from tierstone.operators.lookup import broadcast_if_small
 
 SENT, RETRY, DEAD = outbox.SENT, outbox.RETRY, outbox.DEAD
 
@@ -99,13 +98,3 @@ def test_report(spark):
         quality.require_clean(report)
     quality.require_clean(report.filter("severity = 'warn'"))
     assert collected(quality.tally({"u": ("error", quality.unique(df, "id"))})) == [("u", "error", 1)]
-
-
-def test_broadcast_only_below_the_bound(spark, plan_of):
-    dim, facts = spark.range(100), spark.range(1000)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan_of(facts.join(broadcast_if_small(dim, 100), "id", "left"))
-        assert "BroadcastHashJoin" not in plan_of(facts.join(broadcast_if_small(dim, 99), "id", "left"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

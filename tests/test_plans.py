@@ -92,3 +92,16 @@ def test_snapshot_shares_one_partitioning(spark, plan_of, stored):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 6
+
+
+def test_hot_keys_of_a_snapshot_are_dealt_by_slot(spark, plan_of, stored):
+    """Even after joins that deal rows by key, the window reads rows dealt by key and slot."""
+    keys = ["player_id", "country_code"]
+    log = stored("txn").select(F.lit("hot").alias("player_id"), "country_code", "created_at", "amount_eur")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = materialise(build_history(log, keys, "created_at"), "test-history")
+        plan = plan_of(snapshot(built, log, keys, "created_at", run_at="2024-01-01 00:00:00", rows_per_slot=100))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"Exchange hashpartitioning\([^)]*_slot[^)]*\), REPARTITION_BY_COL", plan)

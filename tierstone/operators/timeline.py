@@ -125,6 +125,9 @@ def with_next(df: DataFrame, keys: Sequence[str], order_col: str, out: str, slot
     keys = list(keys)
     slot = [*keys, SLOT]
     rows = slots.place(df, order_col)
+    if slots.cuts is not None:
+        # A frame that comes dealt by key alone would keep a hot key's slots in one task.
+        rows = rows.repartition(*slot)
     found = F.lead(order_col).over(Window.partitionBy(*slot).orderBy(order_col))
     if slots.cuts is None:
         return rows.withColumn(out, found).drop(SLOT)

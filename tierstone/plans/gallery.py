@@ -20,7 +20,6 @@ from tierstone.functions.text import clean_str, truncated
 from tierstone.functions.times import VIENNA, hour_key, iso_utc, minutes_between
 from tierstone.operators import history, incremental, merge, outbox, quality, timeline
 from tierstone.operators.enforce import enforce_schema, latest_per_key, stamp
-from tierstone.operators.lookup import broadcast_if_small
 from tierstone.plans import dimensions, facts, marts, trips
 from tierstone.session import materialise, prepare, scratch_dir
 from tierstone.sources import calendar, warehouse
@@ -92,7 +91,7 @@ def full_payments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payment_methods(payments: DataFrame) -> DataFrame:
-    return broadcast_if_small(materialise(dimensions.dim_payment_method(payments), "methods"))
+    return materialise(dimensions.dim_payment_method(payments), "methods")
 
 
 def payments_fact(spark: SparkSession, folder: str) -> DataFrame:

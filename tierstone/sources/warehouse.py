@@ -1,8 +1,9 @@
 """The silver contracts as projections of the TPC-H-like tables in one folder.
 
-Stand-ins for the bike and gaming landings: every row of a given table becomes a row
-of a contract table, with branches (failed, blank, promotional, retried, ...) chosen
-by the row's own values.
+Stand-ins for the bike and gaming landings: rows of a given table become rows of a
+contract table, with branches (failed, blank, promotional, retried, ...) chosen by the
+row's own values. Limits, classifications and purchases are logs of some event types
+only: each type plays one part, and the log takes all rows that play it.
 """
 
 from __future__ import annotations

@@ -10,9 +10,10 @@ The classes are the connected components of the near copies.
 Documents of equal words are one node. In each bucket of equal sketches, members are first
 aligned with the smallest member only. Buckets whose members then lie in one class are
 settled; in the others more members become centres, round after round, until every pair
-that could still join two classes has been aligned, so no link is lost and no bucket is
-ever expanded into all its pairs at once. Lengths bound the similarity, so pairs of too
-different lengths are left out before alignment.
+that could still join two classes has been looked at, so no link is lost and no bucket is
+ever expanded into all its pairs at once. Pairs are aligned when their lengths, a screen of
+further minima, and in later rounds the number of shingles they share allow it; lengths and
+shared shingles bound the similarity.
 
 Defined cases: a null text has no words; documents without words are classes of their own
 and link to none; texts of one to four words are one shingle; repeated rows share a class;
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierstone.llm.wu_manber import words_of
@@ -35,10 +36,15 @@ from tierstone.session import materialise
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-SKETCHES = 24
-SKETCH_SIZE = 4
+SKETCHES = 16
+SKETCH_SIZE = 3
 # Centres that a bucket tries in one round, after the first round with one.
-CENTRES = 32
+CENTRES = 4096
+# The screen: in each sketch's order, the smallest value among all shingles and in each of
+# ``BINS`` parts of them, cut to bytes. Near copies share each with the probability of
+# their similarity; at 0.8 fewer than these many are shared once in a million times.
+BINS, SHORT = 4, 64
+LEAST_SHARED, LEAST_SHARED_SHORT = 36, 5
 SEED = 0x5EED
 
 
@@ -92,20 +98,27 @@ def occurrence_labels(values: np.ndarray) -> np.ndarray:
     return labels
 
 
-def sketches(shingles: np.ndarray, size: int = SKETCH_SIZE) -> np.ndarray:
-    """One number for each sketch: the smallest labelled shingles, hashed in text order."""
+def sketches(shingles: np.ndarray, size: int = SKETCH_SIZE) -> tuple[np.ndarray, np.ndarray]:
+    """One number for each sketch, the smallest labelled shingles hashed in text order, and the lanes of the screen."""
     size = min(size, len(shingles))
-    out = np.empty(SKETCHES, np.uint64)
+    out, lanes = np.empty(SKETCHES, np.uint64), np.zeros((BINS + 1, SKETCHES), np.uint64)
     with np.errstate(over="ignore"):
         labelled = _mixed(shingles + occurrence_labels(shingles) * np.uint64(0x9E3779B97F4A7C15))
+        part = (labelled >> np.uint64(62)).astype(np.int8)
+        place = np.argsort(part, kind="stable")
+        ordered, part = labelled[place], part[place]
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        bins = part[starts]
         for k, seed in enumerate(SEEDS):
-            values = labelled * seed  # mixed values times a random odd number: another random order
+            values = ordered * seed  # mixed values times a random odd number: another random order
+            least = np.minimum.reduceat(values, starts)
+            lanes[bins, k], lanes[BINS, k] = least, least.min()
             chosen = np.argpartition(values, size - 1)[:size] if size < len(values) else np.arange(size)
             total = np.uint64(size)
-            for at in np.sort(chosen):
+            for at in np.sort(place[chosen]):
                 total = _mixed(total * seed + labelled[at])
             out[k] = total
-    return out
+    return out, (lanes >> np.uint64(20)).astype(np.uint8).view(np.int8).ravel()
 
 
 def matches_in_band(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -164,16 +177,31 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes, lengths, found = [], [], []
+        nodes, lengths, found, screens = [], [], [], []
         for text in batch.column("text").cast(pa.binary()):
             words = words_of(text.as_py() or b"")
             shingles = shingle_hashes(words)
             nodes.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None)
             lengths.append(len(shingles))
-            found.append(sketches(shingles).view(np.int64).tolist() if words else [])
+            drawn, lanes = sketches(shingles) if words else (np.zeros(0, np.uint64), np.zeros(0, np.int8))
+            found.append(drawn.view(np.int64).tolist())
+            screens.append(lanes.tolist())
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "node": pa.array(nodes, pa.binary()),
-            "n": pa.array(lengths, pa.int64()), "sketches": pa.array(found, pa.list_(pa.int64()))})
+            "n": pa.array(lengths, pa.int64()), "sketches": pa.array(found, pa.list_(pa.int64())),
+            "lanes": pa.array(screens, pa.list_(pa.int8()))})
+
+
+def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The labelled shingles of each text as different 32-bit numbers."""
+    for batch in batches:
+        sets = []
+        for text in batch.column("text").cast(pa.binary()):
+            shingles = shingle_hashes(words_of(text.as_py() or b""))
+            with np.errstate(over="ignore"):
+                labelled = _mixed(shingles + occurrence_labels(shingles) * np.uint64(0x9E3779B97F4A7C15))
+            sets.append(np.unique((labelled >> np.uint64(32)).astype(np.uint32)).view(np.int32).tolist())
+        yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "shingles": pa.array(sets, pa.list_(pa.int32()))})
 
 
 def _aligned(least: float):
@@ -214,6 +242,33 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = state
 
 
+def _alike() -> Column:
+    """Whether the lengths and the screens of two rows, _a and _b, allow near copies."""
+
+    def shared(first: int, count: int) -> Column:
+        same = F.zip_with(F.slice("lanes_a", first, count), F.slice("lanes_b", first, count), lambda x, y: (x == y).cast("int"))
+        return F.aggregate(same, F.lit(0), lambda total, one: total + one)
+
+    return F.when(F.least("n_a", "n_b") < SHORT, shared(BINS * SKETCHES + 1, SKETCHES) >= LEAST_SHARED_SHORT).otherwise(
+        shared(1, BINS * SKETCHES) >= LEAST_SHARED)
+
+
+def _enough_shared(least: float) -> Column:
+    """Whether the shingles that two rows share, in any order, could reach the similarity.
+
+    Numbers lost to equal hashes of one text are given back, so no pair is left out.
+    """
+    lost = F.least(F.col("n_a") - F.size("shingles_a"), F.col("n_b") - F.size("shingles_b"))
+    shared = F.size(F.array_intersect("shingles_a", "shingles_b")) + lost
+    return shared >= F.lit(least / (1 + least) - 1e-9) * (F.col("n_a") + F.col("n_b"))
+
+
+def _first_common_band() -> Column:
+    """A pair that shares several buckets is looked at in the first of them."""
+    earlier = F.zip_with(F.slice("sketches_a", 1, F.col("band")), F.slice("sketches_b", 1, F.col("band")), lambda x, y: x == y)
+    return ~F.exists(earlier, lambda same: same)
+
+
 def _with_roots(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
@@ -225,12 +280,13 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     drawn = materialise(keyed.mapInArrow(
-        _sketch, "doc_id bigint, text_key bigint, node binary, n bigint, sketches array<bigint>"), "sketches")
+        _sketch, "doc_id bigint, text_key bigint, node binary, n bigint, sketches array<bigint>, lanes array<tinyint>"), "sketches")
     nodes = drawn.where("node is not null").groupBy("node").agg(
-        F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_key")).alias("first"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
+        F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_key")).alias("first"), F.first("n").alias("n"), F.first("sketches").alias("sketches"), F.first("lanes").alias("lanes"))
     entries = nodes.select("node", "n", F.posexplode("sketches").alias("band", "key"))
     shared = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre")).where("size > 1")
     buckets = materialise(entries.join(shared, ["band", "key"]).select("band", "key", "node", "n", "centre"), "buckets")
+    profiles = materialise(nodes.join(buckets.select("node").distinct(), "node").select("node", "n", "lanes", "sketches"), "profiles")
 
     wanted = buckets.select("node").distinct()
     places = nodes.select("node", "first.doc_id", "first.text_key").join(wanted, "node").withColumnRenamed("doc_id", "first_id")
@@ -245,32 +301,45 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         return both.mapInArrow(_aligned(least), "a binary, b binary")
 
     lengths = f"least(n_a, n_b) >= {least} * greatest(n_a, n_b)"
-    sizes = buckets.select("node", "n").distinct()
-    pairs = buckets.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"), F.col("n").alias("n_b"))
-    pairs = pairs.distinct().join(sizes.toDF("a", "n_a"), "a").where(lengths).select("a", "b")
+    pairs = buckets.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = pairs.join(profiles.drop("sketches").toDF("a", "n_a", "lanes_a"), "a").join(
+        profiles.drop("sketches").toDF("b", "n_b", "lanes_b"), "b")
+    pairs = pairs.where(lengths).where(_alike()).select("a", "b")
     tried = materialise(pairs, "pairs")
     links = materialise(aligned(tried), "near-links")
     open_buckets = buckets.where("node <> centre").select("band", "key", "node", "n")
+    roots, sets = materialise(components(links), "near-roots"), None
     while True:
-        roots = materialise(components(links), "near-roots")
         # A bucket is settled when what is left of it lies in one class.
         rooted = _with_roots(open_buckets, roots)
         mixed = rooted.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
         rooted = materialise(rooted.join(mixed.select("band", "key"), ["band", "key"], "left_semi"), "open-buckets")
         if rooted.isEmpty():
             break
+        if sets is None:
+            open_texts = texts.join(rooted.select("node").distinct(), "node")
+            sets = materialise(open_texts.mapInArrow(_shingle_sets, "node binary, shingles array<int>"), "shingle-sets")
         # Members of the classes with the fewest rows in the bucket become centres.
         rows = rooted.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("rows"))
         turn = Window.partitionBy("band", "key").orderBy("rows", "root", "node")
         chosen = rooted.join(rows, ["band", "key", "root"]).withColumn("turn", F.row_number().over(turn))
         chosen = materialise(chosen.where(F.col("turn") <= CENTRES).select(
             "band", "key", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a")), "centres")
-        pairs = rooted.join(chosen, ["band", "key"]).where("root <> root_a").withColumn("n_b", F.col("n")).where(lengths)
+        # Both sides carry what decides, without their texts, whether a pair has to be aligned.
+        full = profiles.join(rooted.select("node").distinct(), "node").join(sets, "node")
+        members = rooted.select("band", "key", "node", "root").join(
+            full.toDF("node", "n_b", "lanes_b", "sketches_b", "shingles_b"), "node")
+        centres = chosen.drop("n_a").join(full.toDF("a", "n_a", "lanes_a", "sketches_a", "shingles_a"), "a")
+        pairs = members.join(centres, ["band", "key"]).where("root <> root_a").where(lengths)
+        pairs = pairs.where(_first_common_band()).where(_alike()).where(_enough_shared(least))
         pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = materialise(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
         tried = materialise(known.unionByName(pairs), "pairs-tried")
-        links = materialise(links.unionByName(aligned(pairs)), "near-links")
+        fresh = materialise(aligned(pairs), "near-links")
+        if not fresh.isEmpty():
+            links = links.unionByName(fresh)
+            roots = materialise(components(links), "near-roots")
         done = chosen.select("band", "key", F.col("a").alias("node"))
         open_buckets = rooted.drop("root").join(done, ["band", "key", "node"], "left_anti")
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierstone.llm.order_minhash import BYTE_VALUES, _mixed
+from tierstone.llm.order_minhash import BYTE_VALUES
 from tierstone.session import materialise
 
 LENGTH = 200
@@ -51,10 +51,12 @@ def _window_hashes(data: np.ndarray) -> np.ndarray:
     values, size = BYTE_VALUES[data], 1
     with np.errstate(over="ignore"):
         while size < ANCHOR:
-            values = values[:-size] * ODD[0] + values[size:] * ODD[1]
-            values ^= values >> np.uint64(29)
+            values, right = values[:-size] * ODD[0], values[size:] * ODD[1]
+            values += right
+            np.right_shift(values, np.uint64(29), out=right)
+            values ^= right
             size *= 2
-        return _mixed(values)
+    return values
 
 
 def segments(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -277,7 +279,10 @@ def _strings_counted(bodies: DataFrame, length: int) -> DataFrame:
 def repeated_runs(
     docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHUNK_BYTES, most_segments: int = MOST_SEGMENTS,
 ) -> DataFrame:
-    """doc_id, text_key and the runs of bytes that repeated strings cover, where there are any."""
+    """doc_id, text_key and the runs of bytes that repeated strings cover, where there are any.
+
+    Runs of neighbouring segments overlap; ``remove_repeats`` merges them.
+    """
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     again = keyed.mapInArrow(_anchors(length, False), "anchor bigint").groupBy("anchor").agg(F.count(F.lit(1)).alias("times"))
     again = again.where("times > 1").select("anchor")
@@ -307,7 +312,7 @@ def repeated_runs(
     runs = materialise(found.unionByName(whole), "segment-runs")
     shifted = F.transform("runs", lambda r: F.struct((r["start"] + F.col("start")).alias("start"), (r["stop"] + F.col("start")).alias("stop")))
     covered = places.join(runs, ["anchor", "print"]).select(*DOC, shifted.alias("runs"))
-    return covered.groupBy(*DOC).agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"))
+    return covered.groupBy(*DOC).agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, **options) -> DataFrame:

@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 
 from tierstone.session import materialise
 
-HEAD, CLASSES, RARE_CLASSES = 1024, 32, 16
+HEAD, CLASSES, RARE_CLASSES = 256, 16, 16
 KNOWN_WORDS = 1 << 18
-HIDDEN, STREAMS, WINDOW = 16, 256, 16
+HIDDEN, STREAMS, WINDOW = 12, 256, 16
 WARM_DOCUMENTS, WARM_TOKENS, WARM_PASSES = 1000, 400_000, 2
 RATE = 0.1
 CHUNK_TOKENS = 1 << 22
@@ -58,10 +58,6 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1.0 + np.tanh(0.5 * x))
-
-
 class Network:
     """Gated recurrent unit over word ids with a class-factored output.
 
@@ -111,21 +107,29 @@ class Network:
 
     def read(self, ids: np.ndarray, fresh: np.ndarray, state: np.ndarray):
         """States before each of the steps, the state after them, and what backpropagation needs."""
-        steps = len(ids)
-        before, kept = np.empty((steps, *state.shape), np.float32), []
-        n = HIDDEN
-        for t in range(steps):
-            before[t] = state
-            if fresh[t].any():
-                before[t][fresh[t]] = 0
-            state = before[t]
-            x, h = self.word[ids[t]], state @ self.gate
-            rz = _sigmoid(x[:, : 2 * n] + h[:, : 2 * n])
-            r, z = rz[:, :n], rz[:, n:]
-            new = np.tanh(x[:, 2 * n :] + r * h[:, 2 * n :])
-            kept.append((r, z, new, h[:, 2 * n :]))
-            state = new + z * (state - new)
-        return before, state, kept
+        n, shape = HIDDEN, (*ids.shape, HIDDEN)
+        inputs, starts = self.word[ids], fresh.any(1)
+        before, new, inner = (np.empty(shape, np.float32) for _ in range(3))
+        gates = np.empty((*ids.shape, 2 * n), np.float32)
+        for t in range(len(ids)):
+            h, g, c = before[t], gates[t], new[t]
+            h[...] = state
+            if starts[t]:
+                h[fresh[t]] = 0
+            pre = h @ self.gate
+            np.add(inputs[t, :, : 2 * n], pre[:, : 2 * n], out=g)
+            g *= 0.5  # the logistic function as a hyperbolic tangent
+            np.tanh(g, out=g)
+            g *= 0.5
+            g += 0.5
+            inner[t] = pre[:, 2 * n :]
+            np.multiply(g[:, :n], inner[t], out=c)
+            c += inputs[t, :, 2 * n :]
+            np.tanh(c, out=c)
+            state = h - c
+            state *= g[:, n:]
+            state += c
+        return before, state, (gates[..., :n], gates[..., n:], new, inner)
 
     def predict(self, states: np.ndarray, ids: np.ndarray, learn: bool):
         """Log probability of each id after each state; with ``learn`` also the gradients."""
@@ -133,7 +137,7 @@ class Network:
         logits = states @ self.out_class
         logits += self.class_bias
         share = np.exp(logits)
-        total = share.sum(1, keepdims=True)
+        total = share @ np.ones((share.shape[1], 1), np.float32)
         rows = np.arange(len(ids))
         found = logits[rows, kinds] - np.log(total[:, 0])
         grads = {}
@@ -143,7 +147,7 @@ class Network:
             grads["out_class"], grads["class_bias"] = states.T @ share, share.sum(0)
             back = share @ self.out_class.T
             grads["out_word"], grads["word_bias"] = np.zeros_like(self.out_word), np.zeros_like(self.word_bias)
-        order = np.argsort(kinds, kind="stable")
+        order = np.argsort(kinds.astype(np.int16), kind="stable")  # 16 bits are sorted by radix
         bounds = np.searchsorted(kinds[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
             part = order[bounds[c] : bounds[c + 1]]
@@ -154,7 +158,7 @@ class Network:
             logits = mine @ weights.T
             logits += self.word_bias[span]
             share = np.exp(logits)
-            total = share.sum(1, keepdims=True)
+            total = share @ np.ones((share.shape[1], 1), np.float32)
             at = np.arange(len(part)), ids[part] - span.start
             found[part] += logits[at] - np.log(total[:, 0])
             if learn:
@@ -168,27 +172,30 @@ class Network:
         """One window of truncated backpropagation; returns the state after it."""
         valid = ids >= 0
         ids = np.where(valid, ids, 0)
-        before, after, kept = self.read(ids, fresh, state)
-        n = HIDDEN
+        before, after, (r, z, new, inner) = self.read(ids, fresh, state)
+        n, starts = HIDDEN, fresh.any(1)
         _, grads, back = self.predict(before[valid], ids[valid], True)
         error = np.zeros_like(before)
         error[valid] = back
-        gate, inputs, flow = np.zeros_like(self.gate), np.empty((*ids.shape, 3 * n), np.float32), np.zeros_like(state)
+        keep = (1 - z) * valid[..., None]
+        to_new, to_z, to_r = keep * (1 - new * new), (before - new) * z * keep, inner * r * (1 - r)
+        inputs, pre = (np.empty((*ids.shape, 3 * n), np.float32) for _ in range(2))
+        flow, back_gate = np.zeros_like(state), self.gate.T.copy()
         for t in range(len(ids) - 1, -1, -1):
-            r, z, new, hn = kept[t]
-            h = before[t]
-            d_new = flow * (1 - z) * (1 - new * new)
-            d_z = flow * (h - new) * z * (1 - z)
-            d_r = d_new * hn * r * (1 - r)
-            d_x = np.concatenate([d_r, d_z, d_new], 1) * valid[t][:, None]
-            d_h = d_x.copy()
-            d_h[:, 2 * n :] *= r
-            inputs[t] = d_x
-            gate += h.T @ d_h
-            flow = flow * z + d_h @ self.gate.T + error[t]
-            flow[fresh[t]] = 0
+            d, e = inputs[t], pre[t]
+            np.multiply(flow, to_new[t], out=d[:, 2 * n :])
+            np.multiply(flow, to_z[t], out=d[:, n : 2 * n])
+            np.multiply(d[:, 2 * n :], to_r[t], out=d[:, :n])
+            e[...] = d
+            e[:, 2 * n :] *= r[t]
+            flow = flow * z[t]
+            flow += e @ back_gate
+            flow += error[t]
+            if starts[t]:
+                flow[fresh[t]] = 0
+        gate = before.reshape(-1, n).T @ pre.reshape(-1, 3 * n)
         used = ids[valid]
-        order = np.argsort(used, kind="stable")
+        order = np.argsort(used.astype(np.int16), kind="stable")
         used = used[order]
         firsts = np.flatnonzero(np.r_[True, used[1:] != used[:-1]])
         self._step("gate", gate, rate)
@@ -260,14 +267,14 @@ class Vocabulary:
 
     def __post_init__(self):
         words = list(self.known)
-        self.ids = np.array([k if k < self.head else self.head + rare_class(w) for k, w in enumerate(words)], np.int32)
+        self.ids = np.array([k if k < self.head else self.head + rare_class(w) for k, w in enumerate(words)], np.int16)
 
     def encode(self, text: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Ids, known places (-1 where unknown) and the unknown words of a text."""
         words = words_of(text)
         get = self.known.get
-        places = np.array([get(w, -1) for w in words], np.int64)
-        ids = self.ids[places] if len(self.ids) else np.zeros(len(words), np.int32)
+        places = np.array([get(w, -1) for w in words], np.int32)
+        ids = self.ids[places] if len(self.ids) else np.zeros(len(words), np.int16)
         unknown = np.flatnonzero(places < 0).tolist()
         rare = [words[k] for k in unknown]
         if unknown:
@@ -326,35 +333,17 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int, int]:
     return Vocabulary({w: k for k, (w, _) in enumerate(ranked)}, np.array([n for _, n in ranked], np.int64), head, mass), tokens, words
 
 
-def _chunks(batches, vocab: Vocabulary):
-    """Encoded documents with their rows, up to about ``CHUNK_TOKENS`` at a time."""
-    rows, encoded, held = [], [], 0
-    for batch in batches:
-        others = [batch.column(c).to_pylist() for c in batch.schema.names if c != "text"]
-        for *row, text in zip(*others, batch.column("text").cast(pa.binary())):
-            found = vocab.encode(text.as_py() or b"")
-            rows.append(row)
-            encoded.append(found)
-            held += len(found[0])
-            if held >= CHUNK_TOKENS:
-                yield rows, encoded
-                rows, encoded, held = [], [], 0
-    if rows:
-        yield rows, encoded
-
-
 def _summed(batches):
     tokens, weights = 0, 0.0
     for batch in batches:
         for n, data in zip(batch.column("tokens").to_pylist(), batch.column("weights").to_pylist()):
             tokens, weights = tokens + n, weights + np.frombuffer(data, np.float64)
     if tokens:
-        yield pa.RecordBatch.from_pydict({"tokens": pa.array([tokens], pa.int64()), "weights": pa.array([weights.tobytes()], pa.binary())})
+        yield pa.RecordBatch.from_pydict(_weights_row(tokens, weights))
 
 
-def train(train_docs: DataFrame, vocab: Vocabulary) -> Network:
-    """A warm start on a sample, then one pass over all training documents in parallel."""
-    spark = train_docs.sparkSession
+def warm_start(train_docs: DataFrame, vocab: Vocabulary) -> Network:
+    """A network trained on a bounded sample of the training documents."""
     net = Network(vocab.head)
     if not vocab.head:
         return net
@@ -365,24 +354,62 @@ def train(train_docs: DataFrame, vocab: Vocabulary) -> Network:
         if room > 0:
             docs.append(vocab.encode(text)[0])
             room -= len(docs[-1])
-    ids = np.bincount(vocab.ids, vocab.counts, vocab.head + RARE_CLASSES)
-    net.start_from(ids + np.r_[np.zeros(vocab.head), vocab.rare_mass * 0.01])
+    counts = np.bincount(vocab.ids, vocab.counts, vocab.head + RARE_CLASSES)
+    net.start_from(counts + np.r_[np.zeros(vocab.head), vocab.rare_mass * 0.01])
     for _ in range(WARM_PASSES if docs else 0):
         train_on(net, docs, RATE)
-    shared = spark.sparkContext.broadcast((net, vocab))
+    return net
 
-    def learn(batches):
-        own, vocab = shared.value
-        own, tokens = own.copy(), 0
-        for _, encoded in _chunks(batches, vocab):
-            train_on(own, [e[0] for e in encoded], RATE)
-            tokens += sum(len(e[0]) for e in encoded)
-        if tokens:
-            weights = np.frombuffer(own.packed(), np.float64) * tokens
-            yield pa.RecordBatch.from_pydict({"tokens": pa.array([tokens], pa.int64()), "weights": pa.array([weights.tobytes()], pa.binary())})
 
+def _weights_row(tokens: int, weights: np.ndarray) -> dict:
+    return {"tokens": pa.array([tokens], pa.int64()), "weights": pa.array([weights.tobytes()], pa.binary())}
+
+
+def _read_once(shared):
+    """Encodes every document, keeps what its scores need, and trains a copy on those to learn from.
+
+    The last row of a task holds its copy instead of a document.
+    """
+
+    def run(batches):
+        net, vocab = shared.value
+        net, seen = net.copy(), 0
+        logs, rare_logs = np.log10(vocab.counts + 1.0), np.log10(vocab.rare_mass)
+        learn, held = [], 0
+        for batch in batches:
+            found = []
+            for text, teaches in zip(batch.column("text").cast(pa.binary()), batch.column("teaches").to_pylist()):
+                ids, places, rare = vocab.encode(text.as_py() or b"")
+                known = places[places >= 0]
+                inside = logs[known[known >= vocab.head]].sum() - rare_logs[ids[ids >= vocab.head] - vocab.head].sum()
+                found.append((len(ids), len(known), float(logs[known].sum()), float(inside), ids.tobytes(),
+                              [{"word": w.decode(), "times": n} for w, n in Counter(rare).items()]))
+                if teaches and vocab.head:
+                    learn.append(ids)
+                    held += len(ids)
+            columns = zip(*found) if found else [()] * len(FOUND)
+            out = {name: batch.column(name) for name in ("doc_id", "held_out", "key")}
+            out |= {name: pa.array(column, kind) for (name, kind), column in zip(FOUND.items(), columns)}
+            out |= {"tokens": pa.nulls(len(found), pa.int64()), "weights": pa.nulls(len(found), pa.binary())}
+            yield pa.RecordBatch.from_pydict(out)
+            if held >= CHUNK_TOKENS:
+                train_on(net, learn, RATE)
+                seen += held
+                learn, held = [], 0
+        if learn:
+            train_on(net, learn, RATE)
+            seen += held
+        if seen:
+            out = {"doc_id": pa.nulls(1, pa.int64()), "held_out": pa.nulls(1, pa.bool_()), "key": pa.nulls(1, pa.int64())}
+            out |= {name: pa.nulls(1, kind) for name, kind in FOUND.items()}
+            yield pa.RecordBatch.from_pydict(out | _weights_row(seen, np.frombuffer(net.packed(), np.float64) * seen))
+
+    return run
+
+
+def _averaged(net: Network, copies: DataFrame) -> Network:
+    """The copies of all tasks, weighted by the words they have read."""
     kind = "tokens bigint, weights binary"
-    copies = materialise(train_docs.select("text").mapInArrow(learn, kind), "lm-copies")
     parts = max(1, int(copies.count() ** 0.5))
     total = copies.repartition(parts).mapInArrow(_summed, kind).repartition(1).mapInArrow(_summed, kind).first()
     if total is not None:
@@ -390,53 +417,57 @@ def train(train_docs: DataFrame, vocab: Vocabulary) -> Network:
     return net
 
 
+def _scored(shared):
+    def run(batches):
+        net = shared.value
+        for batch in batches:
+            docs = [np.frombuffer(b, np.int16) for b in batch.column("ids").to_pylist()]
+            out = {name: batch.column(name) for name in SCORED if name != "model_log"}
+            found = score_docs(net, docs) if docs else np.zeros(0)
+            yield pa.RecordBatch.from_pydict(out | {"model_log": pa.array(found, pa.float64())})
+
+    return run
+
+
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document."""
     spark = docs.sparkSession
     keyed = docs.select("doc_id", F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False)).alias("held_out"), "text")
-    train_docs = keyed.where("not held_out and doc_id is not null")
+    keyed = keyed.withColumn("teaches", ~F.col("held_out") & F.col("doc_id").isNotNull())
+    train_docs = keyed.where("teaches")
     counts = materialise(word_counts(train_docs), "word-counts")
     vocab, tokens, words = vocabulary(counts)
-    net = train(train_docs, vocab)
+    net = warm_start(train_docs, vocab)
     shared = spark.sparkContext.broadcast((net, vocab))
-
-    def run(batches):
-        net, vocab = shared.value
-        logs, rare_logs = np.log10(vocab.counts + 1.0), np.log10(vocab.rare_mass)
-        for rows, encoded in _chunks(batches, vocab):
-            model = score_docs(net, [e[0] for e in encoded])
-            out = []
-            for (doc_id, held_out, key), (ids, places, rare), found in zip(rows, encoded, model):
-                known = places[places >= 0]
-                base = float(logs[known].sum())
-                shared_kinds = ids[ids >= vocab.head] - vocab.head
-                inside = float(logs[places[(places >= vocab.head)]].sum() - rare_logs[shared_kinds].sum())
-                rarest = Counter(rare)
-                out.append((doc_id, held_out, key, len(ids), len(known), base, float(found) + inside,
-                            [{"word": w.decode(), "times": n} for w, n in rarest.items()]))
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                     pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(zip(*out), kinds)], PARTIAL_NAMES)
-
-    partial = materialise(keyed.withColumn("key", F.xxhash64("text")).select("doc_id", "held_out", "key", "text").mapInArrow(run, PARTIAL), "lm-scores")
-    rare = partial.select("doc_id", "key", F.explode("rare").alias("r")).select("doc_id", "key", "r.word", "r.times")
+    read = keyed.select("doc_id", "held_out", F.xxhash64("text").alias("key"), "teaches", "text")
+    read = materialise(read.mapInArrow(_read_once(shared), READ), "lm-documents")
+    net = _averaged(net, read.where("weights is not null").select("tokens", "weights"))
+    rows = read.where("weights is null")
+    kinds = dict(c.split(" ", 1) for c in READ.split(", "))
+    scored = rows.select("doc_id", "held_out", "key", "n_tokens", "n_known", "base_log", "inside_log", "ids").mapInArrow(
+        _scored(spark.sparkContext.broadcast(net)), ", ".join(f"{name} {kinds.get(name, 'double')}" for name in SCORED))
+
+    rare = rows.select("doc_id", "key", F.explode("rare").alias("r")).select("doc_id", "key", "r.word", "r.times")
     rare = rare.dropDuplicates().join(counts.select("word", F.col("times").alias("count")), "word")
     rare = rare.groupBy("doc_id", "key").agg(
         F.sum(F.col("times") * F.log10(F.col("count") + F.lit(1.0))).alias("rare_log"), F.sum("times").alias("rare_known"))
     rare = rare.toDF("rare_id", "rare_key", "rare_log", "rare_known")
-    here = partial["doc_id"].eqNullSafe(rare["rare_id"]) & (partial["key"] == rare["rare_key"])
-    rows = partial.join(rare, here, "left").withColumn("rare_log", F.coalesce("rare_log", F.lit(0.0)))
-    return rows.select(
+    here = scored["doc_id"].eqNullSafe(rare["rare_id"]) & (scored["key"] == rare["rare_key"])
+    both = scored.join(rare, here, "left").withColumn("rare_log", F.coalesce("rare_log", F.lit(0.0)))
+    return both.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         (F.col("base_log") + F.col("rare_log") - F.col("n_tokens") * F.log10(F.lit(float(tokens + words + 1)))).alias("base_score"),
-        (F.col("model_log") + F.col("rare_log")).alias("score"),
+        (F.col("model_log") + F.col("inside_log") + F.col("rare_log")).alias("score"),
     )
 
 
-PARTIAL = (
-    "doc_id bigint, held_out boolean, key bigint, n_tokens bigint, n_known bigint, base_log double, model_log double, "
-    "rare array<struct<word:string,times:bigint>>"
+FOUND = {
+    "n_tokens": pa.int64(), "n_known": pa.int64(), "base_log": pa.float64(), "inside_log": pa.float64(), "ids": pa.binary(),
+    "rare": pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())])),
+}
+READ = (
+    "doc_id bigint, held_out boolean, key bigint, n_tokens bigint, n_known bigint, base_log double, inside_log double, "
+    "ids binary, rare array<struct<word:string,times:bigint>>, tokens bigint, weights binary"
 )
-PARTIAL_NAMES = [column.split()[0] for column in PARTIAL.split(", ")]
+SCORED = ["doc_id", "held_out", "key", "n_tokens", "n_known", "base_log", "inside_log", "model_log"]

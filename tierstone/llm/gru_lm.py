@@ -77,6 +77,7 @@ class Network:
         self.out_class, self.class_bias = draw(HIDDEN, CLASSES + RARE_CLASSES), np.zeros(CLASSES + RARE_CLASSES, np.float32)
         self.out_word, self.word_bias = draw(CLASSES * self.per_class, HIDDEN), np.zeros(CLASSES * self.per_class, np.float32)
         self.word_bias[head:] = -30.0  # places of no word
+        self.class_bias[:CLASSES][np.arange(CLASSES) * self.per_class >= head] = -30.0
         self.seen = {name: np.full_like(getattr(self, name), 0.05) for name in self.NAMES}
 
     def start_from(self, counts: np.ndarray) -> None:

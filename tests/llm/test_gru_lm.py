@@ -85,6 +85,18 @@ def test_counts_and_base_score_equal_brute_force(spark, monkeypatch, known):
         assert sum(r["score"] for r in rest) > sum(r["base_score"] for r in rest)
 
 
+def test_the_thousand_commonest_words_are_predicted_from_the_state(spark):
+    words = [f"w{k}" for k in range(1000)]
+    text = " ".join(w for k, w in enumerate(words) for _ in range(2 + (k < 500)))
+    vocab, _, _ = G.vocabulary(G.word_counts(frames.docs(spark, [(1, text)])))
+    ids = vocab.encode(" ".join(words).encode())[0]
+    assert len(set(ids.tolist())) == 1001 and ids.max() < vocab.head == 1001
+    net, rng = G.Network(vocab.head), np.random.default_rng(3)
+    assert len(net.gate) >= 16 and len(net.class_bias) - G.RARE_CLASSES >= 32
+    one, other = (np.repeat(rng.standard_normal((1, G.HIDDEN)).astype(np.float32), len(ids), 0) for _ in range(2))
+    assert (net.predict(one, ids, False) != net.predict(other, ids, False)).mean() > 0.99
+
+
 def test_empty_and_untrained(spark):
     assert G.score(frames.docs(spark, [])).collect() == []
     found = G.score(frames.docs(spark, [(None, "a b")])).collect()

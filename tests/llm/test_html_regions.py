@@ -21,6 +21,24 @@ def test_without_an_article_dense_lines_choose_their_parent():
     assert H.main_text(page) == "\n\n".join([LONG.strip(), "Tiny.", LONG.strip()])
 
 
+def test_without_an_article_short_lines_between_paragraphs_stay():
+    text = LONG.strip()
+    inner = f"<h2>Methods</h2><p>{LONG}</p><ul><li>item one</li><li>item two</li></ul><p>{LONG}</p>"
+    inner += f"<table><tr><td>cell</td></tr></table><blockquote>Said.</blockquote><dl><dd>It is</dd></dl><p>{LONG}</p>"
+    menu = "".join(f"<div><a href=x>go {k}</a></div>" for k in range(20))
+    want = ["Methods", text, "item one", "item two", text, "cell", "Said.", "It is", text]
+    for page in (f"<div>{inner}</div>", f"<section>{inner}</section>"):
+        assert H.main_text(f"<body>{menu}{page}{menu}</body>") == "\n\n".join(want)
+    outer = f"<body>{menu}<div><h1>Title</h1><div>{inner}</div></div>{menu}</body>"
+    assert H.main_text(outer) == "\n\n".join(["Title", *want])
+
+
+def test_text_outside_teaser_articles_is_kept():
+    teasers = "".join(f"<article><h3><a href=x>Teaser {k}</a></h3></article>" for k in range(5))
+    page = f"<body><div><h2>Own</h2><p>{LONG}</p><p>{LONG}</p></div>{teasers}</body>"
+    assert H.main_text(page) == "\n\n".join(["Own", LONG.strip(), LONG.strip()])
+
+
 def test_broken_pages():
     assert H.main_text(None) == H.main_text("") == H.main_text("<p></p>") == ""
     assert H.main_text("<head><title>t<body><p>only text") in ("", "only text")

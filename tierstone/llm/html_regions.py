@@ -4,9 +4,10 @@ The standard library's parser streams over the page. Block-level tags cut the te
 lines; each line has the number of its characters and of the tags in it. The ratios of
 the two, smoothed by a Gaussian over the neighbouring lines, are clustered by a threshold
 (a share of their standard deviation): lines above it are content. A region, the article or
-main element around a line or else its parent element, is selected when it holds content
-lines and its own ratio reaches the threshold. All lines
-of the selected regions are kept, so short lines inside an article stay. Elements that
+main element around a line or else its nearest div, section or body, is selected when it
+holds content lines and its own ratio reaches the threshold. All lines of the selected
+regions are kept, so short headings, list items and cells between paragraphs stay, and
+headings in an outer element right before a selected region with them. Elements that
 never hold main text (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 reader comments) are left out beforehand, by tag name or by the words of class, id, role.
 
@@ -48,17 +49,20 @@ FURNITURE = frozenset(
 )
 PAGE_HEADER = frozenset("header banner masthead".split())
 REGION = frozenset("article main".split())
+CONTAINER = REGION | frozenset("div section body".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 NAMING = frozenset("class id role".split())
 WORD = re.compile(r"[a-z]+")
 
 
 class RegionParser(HTMLParser):
-    """Collects the lines of one page: text, number of tags, region, and parent element."""
+    """Collects the lines of one page: text, number of tags, region, and whether it is a heading."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int]] = []
-        self.open: list[tuple[str, bool, int, int]] = []  # tag, left out, region, number
+        self.lines: list[tuple[str, int, int, bool]] = []
+        self.open: list[tuple[str, bool, int, int]] = []  # tag, left out, region, container
+        self.ends: dict[int, int] = {}  # closed container to the last element in it
         self.parts: list[str] = []
         self.tags = self.count = 0
 
@@ -68,9 +72,8 @@ class RegionParser(HTMLParser):
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, region, _ = self._state()
-            parent = next((o[3] for o in reversed(self.open) if o[0] in BLOCK and o[0] != "p"), 0)
-            self.lines.append((text, self.tags, region, parent))
+            _, region, container = self._state()
+            self.lines.append((text, self.tags, region or container, bool(self.open) and self.open[-1][0] in HEADING))
         self.parts.clear()
         self.tags = 0
 
@@ -98,12 +101,12 @@ class RegionParser(HTMLParser):
             self.open.clear()  # an unclosed head ends here
         if tag in VOID:
             return
-        left_out, region, _ = self._state()
+        left_out, region, container = self._state()
         self.count += 1
         left_out = left_out or self._left_out(tag, attrs, region)
         if tag in REGION and not left_out and not region:
             region = self.count
-        self.open.append((tag, left_out, region, self.count))
+        self.open.append((tag, left_out, region, self.count if tag in CONTAINER else container))
 
     def handle_endtag(self, tag):
         if tag in BLOCK:
@@ -111,6 +114,7 @@ class RegionParser(HTMLParser):
         self.tags += 1
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
+                self.ends.update((o[3], self.count) for o in self.open[at:] if o[0] in CONTAINER)
                 del self.open[at:]
                 return
 
@@ -118,7 +122,7 @@ class RegionParser(HTMLParser):
         if not self._state()[0]:
             self.parts.append(data)
 
-    def finish(self) -> list[tuple[str, int, int, int]]:
+    def finish(self) -> list[tuple[str, int, int, bool]]:
         self.close()
         self._end_line()
         return self.lines
@@ -130,15 +134,14 @@ def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(np.pad(values, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
-def content_regions(lines: list[tuple[str, int, int, int]], place: int, sigma: float, share: float) -> set[int]:
+def content_regions(lines: list[tuple[str, int, int, bool]], sigma: float, share: float) -> set[int]:
     """Regions that hold a content line and whose own text-to-tag ratio is that of content."""
     ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, _, _ in lines], float), sigma)
     least = min(share * ratios.std(), ratios.max())
     chars, tags, found = {}, {}, set()
-    for line, ratio in zip(lines, ratios):
-        region = line[place]
-        chars[region] = chars.get(region, 0) + len(line[0])
-        tags[region] = tags.get(region, 0) + line[1]
+    for (text, count, region, _), ratio in zip(lines, ratios):
+        chars[region] = chars.get(region, 0) + len(text)
+        tags[region] = tags.get(region, 0) + count
         if ratio >= least:
             found.add(region)
     return {region for region in found if chars[region] >= least * max(1, tags[region])} or found
@@ -153,11 +156,16 @@ def main_text(html: str | None, sigma: float = SIGMA, share: float = THRESHOLD)
     lines = parser.finish()
     if not lines:
         return ""
-    regions = {line[2] for line in lines if line[2]}
-    place = 2 if regions else 3
-    chosen = content_regions(lines, place, sigma, share)
-    chosen = (chosen & regions or regions) if regions else chosen
-    return "\n\n".join(line[0] for line in lines if line[place] in chosen)
+    chosen = content_regions(lines, sigma, share)
+    kept, below = [], 0
+    for text, _, region, heading in reversed(lines):
+        if region in chosen:
+            below = region
+        elif not (heading and region <= below <= parser.ends.get(region, parser.count)):
+            below = -1
+            continue
+        kept.append(text)
+    return "\n\n".join(reversed(kept))
 
 
 def extract(pages: DataFrame, sigma: float = SIGMA, share: float = THRESHOLD) -> DataFrame:

@@ -39,6 +39,18 @@ def test_text_outside_teaser_articles_is_kept():
     assert H.main_text(page) == "\n\n".join(["Own", LONG.strip(), LONG.strip()])
 
 
+def test_names_that_only_mention_furniture_keep_their_text():
+    text = LONG.strip()
+    body = f"<h2 id='search'>Head</h2><p>{LONG}</p><section id='discussion'><h3>Talk</h3><p>{LONG}</p></section>"
+    want = "\n\n".join(["Head", text, "Talk", text])
+    for names in ("layout has-sidebar", "no-sidebar", "post comments-open", "sidebar", "widget-area", "entry-header", "withSidebar"):
+        assert H.main_text(f"<body><div class='{names}'>{body}</div></body>") == want, names
+    assert H.main_text(f"<article class='post comment'>{body}</article>") == want
+    comments = f"<div id='comments'>{f'<p>{LONG}</p>' * 9}</div><div class='sidebar-right'><p>{LONG}</p></div>"
+    assert H.main_text(f"<body><div>{body}</div>{comments}</body>") == want
+    assert H.main_text(f"<body><div>{body}</div><x-ad class='ad'>{LONG}</x-ad></body>") == want
+
+
 def test_broken_pages():
     assert H.main_text(None) == H.main_text("") == H.main_text("<p></p>") == ""
     assert H.main_text("<head><title>t<body><p>only text") in ("", "only text")

@@ -9,7 +9,11 @@ holds content lines and its own ratio reaches the threshold. All lines of the se
 regions are kept, so short headings, list items and cells between paragraphs stay, and
 headings in an outer element right before a selected region with them. Elements that
 never hold main text (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-reader comments) are left out beforehand, by tag name or by the words of class, id, role.
+reader comments) are left out beforehand, by tag name or by the names in class, id, role.
+A name counts as a whole: not when it only tells a state (``has-sidebar``,
+``comments-open``), and never for articles and headings. An element named so that holds
+the bulk of the page's dense text stays; one named for other text (adverts, reader comments)
+only if no dense text is elsewhere.
 
 Defined cases: a null or empty page gives the empty text; repeated pages give repeated
 rows; unclosed tags end where an enclosing element ends; an unclosed script runs to the
@@ -47,52 +51,67 @@ FURNITURE = frozenset(
     "social related recommended teaser comment comments commentlist disqus discussion reply replies respond complementary "
     "contentinfo".split()
 )
+STATES = frozenset(
+    "has have no not non without with is are open opened closed close enabled disabled on off active inactive hide hidden "
+    "show shown count layout wrap wrapper container page free".split()
+)
+# Names that themes also give to elements around the whole page; the others name short or foreign text.
+LAYOUT = frozenset("alert banner header login masthead modal notice overlay popup rail search sidebar sidebars social widget widgets".split())
+# Words that are as likely the anchor of a chapter as the name of furniture.
+ANCHORS = frozenset("ad alert banner consent discussion notice promotion related reply replies respond search share sharing social".split())
+HEADED = frozenset("article content entry main post story text title".split())
+INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i img ins kbd mark q s samp small span strong sub sup time u var".split())
 PAGE_HEADER = frozenset("header banner masthead".split())
 REGION = frozenset("article main".split())
 CONTAINER = REGION | frozenset("div section body".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 NAMING = frozenset("class id role".split())
 WORD = re.compile(r"[a-z]+")
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class RegionParser(HTMLParser):
-    """Collects the lines of one page: text, number of tags, region, and whether it is a heading."""
+    """Collects the lines of one page: text, number of tags, region, whether it is a heading, and named element."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, bool, int, int]] = []  # tag, left out, region, container
+        self.lines: list[tuple[str, int, int, bool, int]] = []
+        self.open: list[tuple[str, bool, int, int, int]] = []  # tag, left out, region, container, named
+        self.named: dict[int, tuple[int, bool]] = {}  # element named as furniture: the one around it, layout only
         self.ends: dict[int, int] = {}  # closed container to the last element in it
         self.parts: list[str] = []
         self.tags = self.count = 0
 
-    def _state(self) -> tuple[bool, int, int]:
-        return self.open[-1][1:] if self.open else (False, 0, 0)
+    def _state(self) -> tuple[bool, int, int, int]:
+        return self.open[-1][1:] if self.open else (False, 0, 0, 0)
 
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, region, container = self._state()
-            self.lines.append((text, self.tags, region or container, bool(self.open) and self.open[-1][0] in HEADING))
+            _, region, container, named = self._state()
+            self.lines.append((text, self.tags, region or container, bool(self.open) and self.open[-1][0] in HEADING, named))
         self.parts.clear()
         self.tags = 0
 
-    def _left_out(self, tag: str, attrs: list, region: int) -> bool:
-        if tag in NEVER or (tag == "header" and not region):
-            return True
-        if tag in ("html", "body", "main"):
-            return False
+    def _furniture(self, tag: str, attrs: list, region: int) -> set[str]:
+        """Words of furniture among the names of an element."""
+        found = set()
+        if tag in HEADING or tag in ("html", "body", "main", "article"):
+            return found
         for name, value in attrs:
-            if name == "hidden":
-                return True
-            if name in NAMING and value:
-                words = set(WORD.findall(value.lower()))
-                if words & FURNITURE or (words & PAGE_HEADER and not region and tag != "article"):
-                    return True
-        return False
+            for token in (value or "").split() if name in NAMING else ():
+                words = set(WORD.findall(CAMEL.sub("-", token).lower()))
+                if words & STATES or (name == "id" and tag == "section" and words <= ANCHORS):
+                    continue
+                found |= words & FURNITURE
+                if not region and not words & HEADED:
+                    found |= words & PAGE_HEADER
+        return found
 
     def handle_starttag(self, tag, attrs):
-        if tag in BLOCK:
+        left_out, region, container, named = self._state()
+        words = set() if left_out or tag in VOID else self._furniture(tag, attrs, region)
+        if tag in BLOCK or (words and tag not in INLINE):
             self._end_line()
         self.tags += 1
         if tag == "br":
@@ -101,12 +120,17 @@ class RegionParser(HTMLParser):
             self.open.clear()  # an unclosed head ends here
         if tag in VOID:
             return
-        left_out, region, container = self._state()
+        if tag == "body":
+            left_out, region, container, named = self._state()
         self.count += 1
-        left_out = left_out or self._left_out(tag, attrs, region)
+        left_out = left_out or tag in NEVER or (tag == "header" and not region) or bool(words and tag in INLINE)
+        left_out = left_out or (tag not in ("html", "body", "main") and any(name == "hidden" for name, _ in attrs))
+        if words and not left_out:
+            self.named[self.count] = named, words <= LAYOUT
+            named = self.count
         if tag in REGION and not left_out and not region:
             region = self.count
-        self.open.append((tag, left_out, region, self.count if tag in CONTAINER else container))
+        self.open.append((tag, left_out, region, self.count if tag in CONTAINER else container, named))
 
     def handle_endtag(self, tag):
         if tag in BLOCK:
@@ -114,6 +138,8 @@ class RegionParser(HTMLParser):
         self.tags += 1
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
+                if self.open[at][4] != (self.open[at - 1][4] if at else 0):
+                    self._end_line()
                 self.ends.update((o[3], self.count) for o in self.open[at:] if o[0] in CONTAINER)
                 del self.open[at:]
                 return
@@ -122,7 +148,7 @@ class RegionParser(HTMLParser):
         if not self._state()[0]:
             self.parts.append(data)
 
-    def finish(self) -> list[tuple[str, int, int, bool]]:
+    def finish(self) -> list[tuple[str, int, int, bool, int]]:
         self.close()
         self._end_line()
         return self.lines
@@ -134,12 +160,30 @@ def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(np.pad(values, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
-def content_regions(lines: list[tuple[str, int, int, bool]], sigma: float, share: float) -> set[int]:
+def unnamed(lines: list[tuple[str, int, int, bool, int]], named: dict[int, tuple[int, bool]], sigma: float, share: float):
+    """The lines outside elements named as furniture, or in one that holds the bulk of the dense text."""
+    if not named:
+        return lines
+    ratios = smoothed(np.array([len(line[0]) / max(1, line[1]) for line in lines], float), sigma)
+    least = min(share * ratios.std(), ratios.max())
+    dense = dict.fromkeys([0, *named], 0)
+    for line, ratio in zip(lines, ratios):
+        dense[line[4]] += len(line[0]) if ratio >= least else 0
+    for inner in reversed(named):  # elements around others come first
+        dense[named[inner][0]] += dense[inner]
+    stay = {0}
+    for one, (around, layout) in named.items():
+        if around in stay and dense[one] and 2 * dense[one] > dense[0] and (layout or dense[one] == dense[0]):
+            stay.add(one)
+    return [line for line in lines if line[4] in stay]
+
+
+def content_regions(lines: list[tuple[str, int, int, bool, int]], sigma: float, share: float) -> set[int]:
     """Regions that hold a content line and whose own text-to-tag ratio is that of content."""
-    ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, _, _ in lines], float), sigma)
+    ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, *_ in lines], float), sigma)
     least = min(share * ratios.std(), ratios.max())
     chars, tags, found = {}, {}, set()
-    for (text, count, region, _), ratio in zip(lines, ratios):
+    for (text, count, region, *_), ratio in zip(lines, ratios):
         chars[region] = chars.get(region, 0) + len(text)
         tags[region] = tags.get(region, 0) + count
         if ratio >= least:
@@ -153,12 +197,12 @@ def main_text(html: str | None, sigma: float = SIGMA, share: float = THRESHOLD)
     parser = RegionParser()
     for start in range(0, len(html), FEED_CHARS):
         parser.feed(html[start : start + FEED_CHARS])
-    lines = parser.finish()
+    lines = unnamed(parser.finish(), parser.named, sigma, share)
     if not lines:
         return ""
     chosen = content_regions(lines, sigma, share)
     kept, below = [], 0
-    for text, _, region, heading in reversed(lines):
+    for text, _, region, heading, _ in reversed(lines):
         if region in chosen:
             below = region
         elif not (heading and region <= below <= parser.ends.get(region, parser.count)):

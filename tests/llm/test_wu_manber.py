@@ -59,3 +59,15 @@ def test_empty_tables(spark):
     _, _, docs, bench = tables(spark)
     assert W.find_benchmark(docs.limit(0), bench).collect() == []
     assert {r["n_hit"] for r in W.find_benchmark(docs, bench.limit(0)).collect()} == {0}
+
+
+def test_copies_of_a_benchmark_text_are_searched_once(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(str(k), text) for k in range(60)] + [(f"o{k}", " ".join(f"x{k}y{j}" for j in range(40))) for k in range(5)]
+    bench = spark.createDataFrame(rows, "item_id string, text string")
+    size = len(text) + 200
+    parts = W._parts(W._keyed(bench), size)
+    sizes = [sum(len(r["text"]) for r in part.collect()) for part in parts]
+    assert max(sizes) <= size and sum(sizes) == sum(len(t) for t in {t for _, t in rows})
+    found = W.find_benchmark(frames.docs(spark, [(1, text), (2, "nothing")]), bench, pass_bytes=size).collect()
+    assert {r["doc_id"]: r["items"] for r in found} == {1: sorted(str(k) for k in range(60)), 2: []}

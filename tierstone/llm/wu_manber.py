@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierstone.session import materialise
+
 WINDOW = 10
 BLOCK_WORDS = 3
 PASS_BYTES = 16 << 20
@@ -127,21 +129,41 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), start, step, lambda acc: acc["n"]).cast("bigint")
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, spans of hit words, items that occur."""
-    spark = docs.sparkSession
+def _keyed(benchmark: DataFrame) -> DataFrame:
+    """item, text and the SHA-256 of the text, for every item with a text."""
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.col("text").cast("binary").alias("text"),
     ).where("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = max(1, -(-size // pass_bytes))
+    return items.withColumn("text_key", F.sha2("text", 256))
+
+
+def _parts(keyed: DataFrame, pass_bytes: int) -> list[DataFrame]:
+    """The distinct texts in parts of up to ``pass_bytes``, or of one bucket of keys."""
+    texts = keyed.select("text_key", "text").dropDuplicates(["text_key"])
+    bucket = F.substring("text_key", 1, 4)
+    sizes = texts.groupBy(bucket.alias("bucket")).agg(F.sum(F.octet_length("text")).alias("size")).orderBy("bucket").collect()
+    bounds, held = [], 0
+    for row in sizes:
+        if not bounds or held + row["size"] > pass_bytes:
+            bounds.append([row["bucket"], row["bucket"]])
+            held = 0
+        bounds[-1][1] = row["bucket"]
+        held += row["size"]
+    return [texts.where(bucket.between(*b)) for b in bounds] or [texts]
+
+
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, spans of hit words, items that occur."""
+    spark = docs.sparkSession
+    keyed = _keyed(benchmark)
+    parts = _parts(keyed, pass_bytes)
+    passes = len(parts)
     rows = docs.select("doc_id", "text")
     if passes > 1:
         rows = rows.withColumn("key", F.xxhash64("text"))
     found = None
-    for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == k) if passes > 1 else items
-        matcher = spark.sparkContext.broadcast(Matcher([(r[0], bytes(r[1])) for r in part.collect()], window))
+    for part in parts:
+        matcher = spark.sparkContext.broadcast(Matcher([(r["text_key"], bytes(r["text"])) for r in part.collect()], window))
         one = rows.mapInArrow(_search(matcher), HITS if passes == 1 else HITS.replace("n_words", "key bigint, n_words", 1))
         found = one if found is None else found.unionByName(one)
     if passes > 1:
@@ -150,7 +172,14 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
             (F.count(F.lit(1)) / passes).cast("int").alias("copies"),
         ).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return found.select("doc_id", "n_words", _covered(F.col("spans")).alias("n_hit"), "spans", F.sort_array("items").alias("items"))
+    found = materialise(found.withColumn("items", F.sort_array("items")), "benchmark-hits")
+    named = keyed.groupBy("text_key").agg(F.collect_set("item").alias("named"))
+    hits = found.where(F.size("items") > 0).select(F.col("items").alias("hits")).distinct()
+    hits = hits.withColumn("text_key", F.explode("hits")).join(named, "text_key")
+    hits = hits.groupBy("hits").agg(F.array_distinct(F.flatten(F.collect_list("named"))).alias("named"))
+    found = found.join(hits, found["items"] == hits["hits"], "left")
+    names = F.sort_array(F.coalesce("named", F.array().cast("array<string>"))).alias("items")
+    return found.select("doc_id", "n_words", _covered(F.col("spans")).alias("n_hit"), "spans", names)
 
 
 def _drop_hits(matcher, names):
@@ -165,13 +194,7 @@ def _drop_hits(matcher, names):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """The documents in which no benchmark window occurs, with all their columns."""
-    items = benchmark.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.col("text").cast("binary").alias("text"),
-    ).where("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = max(1, -(-size // pass_bytes))
-    for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == k)
-        matcher = docs.sparkSession.sparkContext.broadcast(Matcher([(r[0], bytes(r[1])) for r in part.collect()], window))
+    for part in _parts(_keyed(benchmark), pass_bytes):
+        matcher = docs.sparkSession.sparkContext.broadcast(Matcher([(r["text_key"], bytes(r["text"])) for r in part.collect()], window))
         docs = docs.mapInArrow(_drop_hits(matcher, docs.columns), docs.schema)
     return docs

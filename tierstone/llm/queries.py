@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import block_naming, bwt_repeats, compression_toxicity, gru_lm, html_regions, order_minhash, packing, site_quality, snapshot_collapse, wu_manber
+from tierstone.llm import (
+    block_naming, bwt_repeats, compression_toxicity, gru_lm, html_regions, order_minhash, packing, removal_ranks, site_quality,
+    snapshot_collapse, wu_manber,
+)
 from tierstone.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +86,8 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """The source of a document is its host, the language its path."""
     return site_quality.classify(
         table(spark, folder, "documents"), table(spark, folder, "labels"), F.col("source"), F.coalesce("lang", F.lit("")))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return removal_ranks.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))

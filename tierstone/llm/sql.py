@@ -58,3 +58,47 @@ SELECT CAST(id AS BIGINT) AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hit USING (row) LEFT JOIN named USING (row) WHERE kind = 'doc'
 """
+
+SQL["op13_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+),
+flags AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+  FROM w LEFT JOIN marks USING (doc_id)
+),
+masks AS (
+  SELECT part, [a, b, c, d, e] AS fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM flags GROUP BY part, a, b, c, d, e
+),
+letters AS (SELECT unnest(range(1, 6)) AS f),
+orders AS (
+  SELECT [p.f, q.f, r.f, s.f, t.f] AS o
+  FROM letters p JOIN letters q ON q.f <> p.f JOIN letters r ON r.f NOT IN (p.f, q.f)
+    JOIN letters s ON s.f NOT IN (p.f, q.f, r.f) JOIN letters t ON t.f NOT IN (p.f, q.f, r.f, s.f)
+),
+taken AS (
+  SELECT part, o, fails, n, good, toxic, coalesce(list_position(list_transform(o, lambda f: fails[f]), true), 6) AS gone
+  FROM masks CROSS JOIN orders
+),
+steps AS (
+  SELECT part, o, k AS step, o[k] AS f,
+    sum(CASE WHEN gone > k THEN n ELSE 0 END) AS kept, sum(CASE WHEN gone = k THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN gone < k AND fails[o[k]] THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails[o[k]] AND len(list_filter(fails, lambda x: x)) = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN gone = k THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN gone = k THEN toxic ELSE 0 END) AS toxic_lost
+  FROM taken CROSS JOIN (SELECT unnest(range(1, 6)) AS k) GROUP BY part, o, k
+)
+SELECT part, substr('ABCDE', o[1], 1) || substr('ABCDE', o[2], 1) || substr('ABCDE', o[3], 1) || substr('ABCDE', o[4], 1)
+    || substr('ABCDE', o[5], 1) AS filter_order,
+  CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM steps
+"""

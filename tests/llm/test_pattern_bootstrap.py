@@ -1,0 +1,118 @@
+import hashlib
+import random
+import re
+
+import frames
+
+from tierstone.llm import pattern_bootstrap as pb
+from tierstone.llm import queries
+
+EXPRESSIONS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    odd, even = digits[-1::-2], digits[-2::-2]
+    return (sum(map(int, odd)) + sum(sum(divmod(2 * int(d), 10)) for d in even)) % 10 == 0
+
+
+def brute_force(text):
+    out = []
+    for kind, expression in EXPRESSIONS.items():
+        for m in re.finditer(expression, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            good = {
+                "email": True, "ip": all(int(p) <= 255 for p in m.group().split(".")) if kind == "ip" else True,
+                "card": 14 <= len(digits) <= 19 and luhn(digits) if kind == "card" else True, "phone": 10 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                out.append((m.start(), list(EXPRESSIONS).index(kind), m.end()))
+    return sorted(out)
+
+
+def card(rng):
+    body = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+    return next(body + d for d in "0123456789" if luhn(body + d))
+
+
+def test_base_spans_equal_the_expressions():
+    rng = random.Random(1)
+    texts = [
+        "a@b@c.d", "x@y.z-@q.r", "@a.b", "a@b", "1.2.3.4.5.6.7.8.9", "1.2.3", "256.1.1.1 001.002.003.004", "+12", "+1 2", "+1 (743) 555-3824...",
+        "++1234567890", "4111 1111 1111 1111", "4111-1111-1111-1111-", "4111  1111 1111 1111", "é4111111111111111ß", "+49 171 1234567 +", "",
+    ]
+    for alphabet in ("1.", "ab@.-", "+1 ().-", "41 -", "1.@+a -()", "0123456789. -+@x"):
+        texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(1500)]
+    texts += [card(rng) + sep + card(rng) for sep in (" ", "", "-", "x", "\n")]
+    for text in texts:
+        assert pb.base_spans(text) == brute_force(text), text
+
+
+def test_long_runs_take_linear_time():
+    for text in ("1" * 2_000_000, "a" * 2_000_000 + "@", "1." * 1_000_000, "+1 " * 700_000, "a@" * 700_000, "- " * 700_000 + "1"):
+        pb.candidate_spans(text, pb.base_spans(text))
+
+
+def planted(rng):
+    """Known phones and cards in fixed phrases, some identifiers only these phrases betray, and ordinary uses of the words."""
+    word = lambda: rng.choice(frames.WORDS) + str(rng.randrange(10))
+    rows = []
+    for i in range(60):
+        fill = [" ".join(word() for _ in range(12)) for _ in range(4)]
+        phone, owned = f"+1 (555) {rng.randrange(100, 999)}-{rng.randrange(1000, 9999)}", card(rng)
+        if i % 4 == 0:
+            phone = f"0171 {rng.randrange(100000, 999999)}{i:02d}"
+        if i % 5 == 0:
+            owned = f"KD{rng.randrange(10**7, 10**8)}{i:02d}"
+        rows.append((i, f"{fill[0]} ring us under {phone} any day {fill[1]} paid by account {owned} in full {fill[2]} of the {i}9876543{i} {fill[3]} of the sea"))
+    rows += [(1000 + i, f"we say of the {word()} and of the {word()} order {rng.randrange(10**8)} {word()}") for i in range(60)]
+    return rows
+
+
+def test_unseen_identifiers_are_found_by_their_context(spark):
+    rows = planted(random.Random(3))
+    texts = dict(rows)
+    found = {r.doc_id: r for r in pb.find(frames.docs(spark, rows + [(2000, rows[0][1])])).collect()}
+    for i in range(60):
+        added = {(texts[i][s.start : s.end], pb.KINDS[s.kind]) for s in found[i].added}
+        words = texts[i].split()
+        wanted = set()
+        if i % 4 == 0:
+            wanted.add((" ".join(words[words.index("under") + 1 :][:2]), "phone"))
+        if i % 5 == 0:
+            wanted.add((words[words.index("account") + 1], "card"))
+        assert added == wanted, i
+        assert [tuple(s) for s in found[i].base] == pb.base_spans(texts[i])
+    assert not any(found[1000 + i].added for i in range(60))
+    assert found[2000].added == found[0].added
+
+
+def test_patterns_are_reported(spark):
+    docs = frames.docs(spark, planted(random.Random(3)))
+    scanned = pb.materialise(docs.select("doc_id", "text").mapInArrow(pb._scan, pb.SCANNED), "scanned")
+    patterns, instances = pb.learn(docs, scanned)
+    said = {(r.words, pb.KINDS[r.kind]): r for r in patterns.collect()}
+    assert {("us under _", "phone"), ("by account _", "card"), ("_ any day", "phone")} <= set(said)
+    assert said["us under _", "phone"].support >= 45 and not any("of the" in words for words, _ in said)
+    assert {r.kind for r in instances.collect()} == {2, 3}
+
+
+def test_query_digests_and_defined_cases(spark, tmp_path):
+    rows = [*frames.ODD, (30, "mail a.b@c.de or +1 (743) 555-3824"), (30, "mail a.b@c.de or +1 (743) 555-3824"), (31, "x y " * 700_000 + " 1.2.3.4")]
+    frames.docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op12_pii(spark, str(tmp_path)).collect()
+    assert sorted(map(repr, (r.doc_id for r in found))) == sorted(map(repr, (r[0] for r in rows)))
+    wanted = {}
+    for doc_id, text in rows:
+        spans = brute_force(text or "")
+        said = ",".join(f"{list(EXPRESSIONS)[k]}:{s}:{e}" for s, k, e in spans)
+        counts = [sum(k == i for _, k, _ in spans) for i in range(4)]
+        wanted.setdefault(doc_id, set()).add((*counts, hashlib.sha256(said.encode()).hexdigest(), said, 0))
+    for r in found:
+        assert tuple(r)[1:] in wanted[r.doc_id]
+
+
+def test_empty_table(spark):
+    assert pb.find(frames.docs(spark, [])).count() == 0

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.llm import (
-    block_naming, bwt_repeats, compression_toxicity, gru_lm, html_regions, order_minhash, packing, removal_ranks, site_quality,
-    snapshot_collapse, wu_manber,
+    block_naming, bwt_repeats, compression_toxicity, gru_lm, html_regions, order_minhash, packing, pattern_bootstrap,
+    removal_ranks, site_quality, snapshot_collapse, wu_manber,
 )
 from tierstone.session import ship_package
 
@@ -91,3 +91,17 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return removal_ranks.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and digest are of the base spans; ``spans`` has the added ones too, ``n_added`` counts them."""
+    found = pattern_bootstrap.find(table(spark, folder, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{name}") for k, name in enumerate(pattern_bootstrap.KINDS)
+    ]
+    every = F.array_sort(F.concat("base", "added"))
+    return found.select(
+        "doc_id", *counts, F.sha2(pattern_bootstrap.written(F.col("base")), 256).alias("base_sha256"),
+        pattern_bootstrap.written(every).alias("spans"), F.size("added").cast("bigint").alias("n_added"))

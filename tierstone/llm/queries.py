@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.llm import (
-    block_naming, bwt_repeats, compression_toxicity, gru_lm, html_regions, order_minhash, packing, pattern_bootstrap,
-    removal_ranks, site_quality, snapshot_collapse, wu_manber,
+    block_naming, bwt_repeats, compression_toxicity, gru_lm, hilbert_zones, html_regions, order_minhash, packing,
+    pattern_bootstrap, removal_ranks, site_quality, snapshot_collapse, wu_manber,
 )
 from tierstone.session import ship_package
 
@@ -105,3 +105,11 @@ def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(pattern_bootstrap.written(F.col("base")), 256).alias("base_sha256"),
         pattern_bootstrap.written(every).alias("spans"), F.size("added").cast("bigint").alias("n_added"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh id has the next label; every fiftieth is an anchor."""
+    moved = ((F.col("label").cast("bigint") + 1) % 10).cast("int")
+    vectors = table(spark, folder, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label")))
+    return hilbert_zones.hard_negatives(vectors, F.col("vec_id") % 50 == 0)

@@ -9,8 +9,8 @@ occur in; Spark repeats this on the graph of patterns and instances. Spans of ca
 that end up known, at places where a reliable pattern holds, are added; base spans stay.
 
 A filler is known by three words of text, so copies of a passage count once. Texts are
-read twice: once for the mentions, once to count all fillers of the patterns that at least
-``MIN_SUPPORT`` mentions share. That second pass is told the patterns by a bitmap of
+read for the mentions first, then to count all fillers of the patterns that at least
+``MIN_SUPPORT`` mentions share. These passes are told the patterns by a bitmap of
 ``SLOT_BITS`` bits, so what tasks hold is bounded whatever their number; fillers let
 through by chance are dropped by an exact join.
 
@@ -43,6 +43,7 @@ MIN_CONFIDENCE = 0.5
 # A candidate is known from this score on: 1 - product of (1 - confidence) of its patterns.
 MIN_SCORE = 0.5
 ROUNDS = 3
+SIFT = 16
 SLOT_BITS = 26
 WORDS_AT_A_TIME = 1 << 16
 
@@ -252,8 +253,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "mentions": pa.array(mentions, ARROW_MENTIONS)})
 
 
-def _fillers(bitmap):
-    """All (pattern, filler) of the texts whose pattern is in the bitmap, each once for a batch."""
+def _fillers(bitmap, every: int):
+    """The (pattern, filler) of the texts whose pattern is in the bitmap, each once for a batch; of ``every`` fillers one."""
 
     def run(batches):
         table = np.frombuffer(bitmap.value, np.uint8)
@@ -265,19 +266,25 @@ def _fillers(bitmap):
                     continue
                 c = Contexts.of(h)
                 for pattern, filler in ((c.before, c.begins[1:]), (c.before_two, c.begins[2:]), (c.after_two, c.ends[: len(c.after_two)])):
+                    pattern = pattern[: len(filler)]
+                    if every > 1:
+                        drawn = filler & np.uint64(every - 1) == 0
+                        pattern, filler = pattern[drawn], filler[drawn]
                     slot = pattern >> np.uint64(64 - SLOT_BITS)
                     known = (table[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                    patterns.append(pattern[: len(filler)][known[: len(filler)]])
-                    fillers.append(filler[known[: len(filler)]])
+                    patterns.append(pattern[known])
+                    fillers.append(filler[known])
             if patterns:
-                both = np.unique(np.stack([np.concatenate(patterns), np.concatenate(fillers)], axis=1), axis=0)
-                yield pa.RecordBatch.from_pydict({"pattern": both[:, 0].copy().view(np.int64), "filler": both[:, 1].copy().view(np.int64)})
+                pattern, filler = np.concatenate(patterns), np.concatenate(fillers)
+                order = np.lexsort((filler, pattern))
+                pattern, filler = pattern[order], filler[order]
+                new = np.r_[True, (pattern[1:] != pattern[:-1]) | (filler[1:] != filler[:-1])][: len(pattern)]
+                yield pa.RecordBatch.from_pydict({"pattern": pattern[new].view(np.int64), "filler": filler[new].view(np.int64)})
 
     return run
 
 
-def filler_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """How many different fillers each pattern has in all texts: pattern, total."""
+def _counted(docs: DataFrame, patterns: DataFrame, every: int) -> DataFrame:
     value = F.shiftrightunsigned("pattern", 64 - SLOT_BITS) + 1
     pages = patterns.groupBy(F.bitmap_bucket_number(value).alias("page")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits"))
@@ -285,8 +292,21 @@ def filler_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     for row in pages.toLocalIterator():  # pages of 4 KB, no more than the table has
         table[(row.page - 1) * 4096 : row.page * 4096] = row.bits
     shared = docs.sparkSession.sparkContext.broadcast(bytes(table))
-    found = docs.select("text").mapInArrow(_fillers(shared), "pattern bigint, filler bigint").distinct()
-    return found.join(patterns, "pattern", "left_semi").groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
+    found = docs.select("text").mapInArrow(_fillers(shared, every), "pattern bigint, filler bigint").distinct()
+    return found.join(patterns.select("pattern"), "pattern", "left_semi").groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
+
+
+def filler_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """How many different fillers each pattern has in all texts: pattern, total.
+
+    Patterns that cannot be reliable are left out: those with more fillers than their
+    mentions (``fillers``) could account for. Common words are found out by a first pass that
+    keeps one filler of ``SIFT``: when already these are too many, all are.
+    """
+    most = F.col("fillers") / MIN_CONFIDENCE
+    some = _counted(docs, patterns, SIFT)
+    left = patterns.join(some, "pattern", "left").where(F.coalesce("total", F.lit(0)) <= most).select("pattern", "fillers")
+    return _counted(docs, materialise(left, "sifted-patterns"), 1)
 
 
 def score_patterns(edges: DataFrame, known: DataFrame) -> DataFrame:
@@ -317,7 +337,7 @@ def learn(docs: DataFrame, scanned: DataFrame, rounds: int = ROUNDS) -> tuple[Da
     several = edges.groupBy("pattern", "filler").agg(F.min("words").alias("words")).groupBy("pattern").agg(
         F.count(F.lit(1)).alias("fillers"), F.min("words").alias("words")).where(F.col("fillers") >= MIN_SUPPORT)
     several = materialise(several, "shared-patterns")
-    totals = filler_counts(docs, several.select("pattern"))
+    totals = filler_counts(docs, several.select("pattern", "fillers"))
     seeds = edges.where("kind is not null").select("instance", "kind", F.lit(1.0).alias("score")).distinct()
     graph = edges.join(several.select("pattern"), "pattern", "left_semi").join(totals, "pattern")
     graph = materialise(graph.select("pattern", "total", "filler", "instance", F.col("kind").isNotNull().alias("seed")), "pattern-graph")

@@ -20,11 +20,12 @@ from tierstone.functions.text import clean_str, truncated
 from tierstone.functions.times import VIENNA, hour_key, iso_utc, minutes_between
 from tierstone.operators import history, incremental, merge, outbox, quality, timeline
 from tierstone.operators.enforce import enforce_schema, latest_per_key, stamp
+from tierstone.operators.history_table import HistoryTable
 from tierstone.plans import dimensions, facts, marts, trips
 from tierstone.session import materialise, prepare, scratch_dir
 from tierstone.sources import calendar, warehouse
 from tierstone.sources.tables import read_table
-from tierstone.streaming import bronze, silver
+from tierstone.streaming import bronze, silver, silver_log as change_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -435,6 +436,20 @@ def scd2_hard_delete(spark: SparkSession, folder: str) -> DataFrame:
     return _tag_snapshot(spark, folder, drop_inactive=True)
 
 
+@entry_point
+def scd2_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored tag history after three runs: the early state, a later one without inactive tags, all tags again."""
+    log = warehouse.tags_log(spark, folder)
+    early = log.filter(F.col("modified_at") < F.lit(SPLIT).cast("timestamp"))
+    late = materialise(tags(spark, folder), "tags")
+    table = HistoryTable(spark, f"{scratch_dir(spark, 'tag-history')}/tags", TAG_KEYS, "modified_at", log.schema, buckets=4)
+    table.step(materialise(latest_per_key(early, TAG_KEYS, "modified_at"), "early-tags"), run_at=SPLIT)
+    table.step(late.filter(F.col("is_active") == 1), run_at=NOW)
+    table.step(late, run_at=NOW)
+    table.step(late, run_at=NOW)
+    return table.read()
+
+
 @entry_point
 def current_rows(spark: SparkSession, folder: str) -> DataFrame:
     return history.current_rows(player_history(spark, folder)).select(*PLAYER_KEYS, "account_tier", "valid_from")
@@ -698,6 +713,7 @@ class RoundStreams:
         self.root = scratch_dir(spark, "streams")
         self.spec = contract(self.table)
         self.silver_path = f"{self.root}/silver/{self.table}"
+        self.log_path = f"{self.root}/silver-log/{self.table}"
         self.buckets = 4
 
     def land(self, rows: DataFrame) -> None:
@@ -718,6 +734,13 @@ class RoundStreams:
             self._checkpoint("bronze", country), self.silver_path, self._checkpoint("silver", country), now=NOW,
             buckets=self.buckets)
 
+    def append(self, country: str, compact_share: float | None = change_log.COMPACT_SHARE) -> change_log.SilverLog:
+        """The same merge into the change-log layout."""
+        return change_log.append_stream(
+            self.spark, self.spec, country, bronze.bronze_dir(f"{self.root}/bronze", country, self.table),
+            self._checkpoint("bronze", country), self.log_path, self._checkpoint("silver-log", country), now=NOW,
+            buckets=self.buckets, compact_share=compact_share)
+
     def for_each_country(self, step: Callable) -> dict:
         with ThreadPoolExecutor(len(COUNTRIES)) as pool:
             return dict(zip(COUNTRIES, pool.map(step, COUNTRIES)))
@@ -733,6 +756,9 @@ class RoundStreams:
     def silver_rows(self) -> DataFrame:
         return silver.read_silver(self.spark, self.silver_path, self.spec)
 
+    def log_rows(self) -> DataFrame:
+        return change_log.read_silver_log(self.spark, self.log_path, self.spec, buckets=self.buckets)
+
 
 def _drops(spark: SparkSession, folder: str) -> list[DataFrame]:
     log = warehouse.rounds_log(spark, folder)
@@ -770,6 +796,17 @@ def stream_evolution(spark: SparkSession, folder: str) -> DataFrame:
 def stream_silver(spark: SparkSession, folder: str) -> DataFrame:
     """Each landing drained into bronze and folded into silver."""
     streams = RoundStreams(spark, folder)
+    for drop in _drops(spark, folder):
+        streams.land(drop)
+        streams.for_each_country(streams.ingest)
+        streams.for_each_country(streams.append)
+    return streams.log_rows()
+
+
+@entry_point
+def stream_silver_rewrite(spark: SparkSession, folder: str) -> DataFrame:
+    """The same into the layout that rewrites the touched buckets."""
+    streams = RoundStreams(spark, folder)
     for drop in _drops(spark, folder):
         streams.land(drop)
         streams.for_each_country(streams.ingest)
@@ -777,6 +814,23 @@ def stream_silver(spark: SparkSession, folder: str) -> DataFrame:
     return streams.silver_rows()
 
 
+@entry_point
+def silver_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Reads of a change log behind a compacted base, before and after the log is folded in.
+
+    A third landing brings all rows of the first once more; none of them is newer.
+    """
+    streams = RoundStreams(spark, folder)
+    early, late = _drops(spark, folder)
+    for drop, share in ((early, 0.0), (late, None), (early, None)):
+        streams.land(drop)
+        streams.for_each_country(streams.ingest)
+        tables = streams.for_each_country(lambda country: streams.append(country, share))
+    before = materialise(streams.log_rows(), "before-compaction")
+    streams.for_each_country(lambda country: tables[country].compact())
+    return before.withColumn("compacted", F.lit(0)).unionByName(streams.log_rows().withColumn("compacted", F.lit(1)))
+
+
 @entry_point
 def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Ingested rows and upsert counts per landing and country."""

@@ -342,6 +342,24 @@ FROM src s LEFT JOIN open_rows o ON s.tag_id = o.tag_id AND s.country_code = o.c
 WHERE o.tag_id IS NULL OR s.modified_at > o.updated_at"""
 
 
+def stored_tag_history() -> str:
+    """Three runs: the early state, the later active tags, all later tags."""
+    sk = key("tag_id", "country_code", "modified_at")
+    same = "l.tag_id = e.tag_id AND l.country_code = e.country_code"
+    versioned = f"modified_at AS updated_at, modified_at AS valid_from, {sk} AS scd_id"
+    return with_(TAGS, f"""early AS (
+  SELECT * FROM tags_log WHERE modified_at < TIMESTAMP '{SPLIT}'
+  QUALIFY row_number() OVER (PARTITION BY tag_id, country_code ORDER BY modified_at DESC, is_active DESC) = 1)""") + f"""
+SELECT e.*, e.modified_at AS updated_at, e.modified_at AS valid_from, {key('e.tag_id', 'e.country_code', 'e.modified_at')} AS scd_id,
+  CASE WHEN l.tag_id IS NULL THEN TIMESTAMP '{NOW}' WHEN l.modified_at > e.modified_at THEN l.modified_at ELSE {OPEN} END AS valid_to
+FROM early e LEFT JOIN tags l ON {same} AND l.is_active = 1
+UNION ALL
+SELECT *, {versioned}, {OPEN} AS valid_to FROM tags l
+WHERE is_active = 1 AND NOT EXISTS (SELECT 1 FROM early e WHERE {same} AND e.modified_at >= l.modified_at)
+UNION ALL
+SELECT *, {versioned}, {OPEN} AS valid_to FROM tags WHERE is_active <> 1"""
+
+
 WHITESPACE = r"\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
 
@@ -507,6 +525,7 @@ SQL: dict[str, str] = {
     "scd2_limits": with_(LIMIT_HISTORY) + "SELECT * FROM limit_history",
     "scd2_step": snapshot("TRUE"),
     "scd2_hard_delete": snapshot("is_active = 1"),
+    "scd2_table": stored_tag_history(),
     "current_rows": with_(PLAYER_HISTORY) + f"""SELECT player_id, country_code, account_tier, valid_from
       FROM player_history WHERE valid_to = {OPEN}""",
     "point_in_time_join": with_(PURCHASES, LIMIT_HISTORY) + """SELECT p.*, h.limit_value, h.valid_from
@@ -592,6 +611,10 @@ SQL: dict[str, str] = {
         CASE WHEN {EARLY} THEN 'closed ' || is_closed END AS is_closed_as_text
       FROM (SELECT {ROUND_COLUMNS} FROM rounds_log)""",
     "stream_silver": with_(ROUNDS) + f"SELECT {ROUND_COLUMNS}, TIMESTAMP '{NOW}' AS last_update FROM rounds",
+    "stream_silver_rewrite": with_(ROUNDS) + f"SELECT {ROUND_COLUMNS}, TIMESTAMP '{NOW}' AS last_update FROM rounds",
+    "silver_log": with_(ROUNDS) + f"""
+      SELECT {ROUND_COLUMNS}, TIMESTAMP '{NOW}' AS last_update, compacted
+      FROM rounds CROSS JOIN (SELECT unnest([0, 1]) AS compacted)""",
     "stream_metrics": with_(SPLIT_ROUNDS) + f"""
       SELECT 1 AS landing, b.country_code, (SELECT count(*) FROM rounds_log r WHERE {EARLY} AND r.country_code = b.country_code) AS rows_ingested,
         count(*) AS inserted, CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS unchanged FROM before_split b GROUP BY b.country_code

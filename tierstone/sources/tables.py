@@ -62,6 +62,21 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a new small file that is there whole or not at all."""
+    unfinished = f"{path}.unfinished"
+    write_text(spark, unfinished, text)
+    fs, p = _fs(spark, path)
+    if not fs.rename(_fs(spark, unfinished)[1], p):
+        raise FileExistsError(path)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in ``path`` and below, 0 if there is none."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                merge_schema: bool = False) -> DataFrame:
     reader = spark.read.option("mergeSchema", str(merge_schema).lower())

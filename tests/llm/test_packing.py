@@ -17,9 +17,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def model():
-    made = Tokenizer.from_file(PATH)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(PATH)
 
 
 def ids_of(model, text):
@@ -66,7 +64,7 @@ def test_odd_rows(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet=" \n\tab,.'é文  \x1c7s", max_size=60))
 def test_chunks_have_the_ids_of_the_text(model, text):
-    found = array("I", P.chunk_tokenizer(str(PATH)).encode(text)).tolist() if text else []
+    found = array("I", P.text_tokenizer(str(PATH)).encode(text)).tolist() if text else []
     assert found == model.encode(text, add_special_tokens=False).ids
 
 

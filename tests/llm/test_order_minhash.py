@@ -1,8 +1,9 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import frames
 import numpy as np
+import pytest
 
 from tierstone.llm import order_minhash as O
 
@@ -77,17 +78,49 @@ def corpus():
     return [(k, t) for k, t in enumerate(rows + rows[:5])]
 
 
-def test_classes_equal_brute_force(spark, monkeypatch):
-    rows = corpus()
-    for centres in (O.CENTRES, 2):
-        monkeypatch.setattr(O, "CENTRES", centres)
-        groups = defaultdict(list)
-        found = O.near_copies(frames.docs(spark, rows)).collect()
-        for r in found:
-            groups[r["class_id"]].append(r["doc_id"])
-        assert all(k == min(g) for k, g in groups.items())
-        assert sorted(sorted(map(repr, g)) for g in groups.values()) == classes_by_brute_force(rows)
-        assert sum(r["kept"] for r in found) == len(groups)
+def crowd(rng, n):
+    """Texts that share most of a long passage: any two lie between 0.7 and 0.8, but for a few chains of links."""
+    base, rows = frames.sentence(rng, 200), []
+    for _ in range(n):
+        rows.append(edited(rng, base, rng.randrange(4, 7)))
+    return [" ".join(r) for r in rows]
+
+
+@pytest.mark.parametrize("members", [O.GROUP_MEMBERS, 3])
+@pytest.mark.parametrize("kind", ["corpus", "crowd"])
+def test_classes_equal_brute_force(spark, kind, members):
+    rows = corpus() if kind == "corpus" else list(enumerate(crowd(random.Random(9), 120)))
+    groups = defaultdict(list)
+    found = O.near_copies(frames.docs(spark, rows), group_members=members).collect()
+    for r in found:
+        groups[r["class_id"]].append(r["doc_id"])
+    assert all(k == min(g) for k, g in groups.items())
+    assert sorted(sorted(map(repr, g)) for g in groups.values()) == classes_by_brute_force(rows)
+    assert sum(r["kept"] for r in found) == len(groups)
+
+
+def group_of(texts, roots):
+    shingles = [O.shingle_hashes(O.words_of(t.encode())) for t in texts]
+    return O.Members({
+        "nodes": [b"%d" % i for i in range(len(texts))], "roots": roots, "counts": list(map(len, shingles)),
+        "sketches": np.arange(2 * len(texts)).tobytes(), "shingles": np.concatenate(shingles).tobytes()}, "")
+
+
+def test_shared_shingles_are_counted_exactly():
+    rng = random.Random(4)
+    texts = crowd(rng, 12) + ["w " * 30, "w " * 12, "lone words only here"]
+    members = group_of(texts, [b"r"] * len(texts))
+    with np.errstate(over="ignore"):
+        bags = [Counter(O.shingle_hashes(O.words_of(t.encode())).tolist()) for t in texts]
+    wanted = [[sum((a & b).values()) for b in bags] for a in bags]
+    assert (O.shared_shingles(members, members) == wanted).all() and (O.shared_shingles(members, members, 7) == wanted).all()
+
+
+def test_a_tile_gives_few_links():
+    rng = random.Random(5)
+    base = frames.sentence(rng, 300)
+    members = group_of([" ".join(edited(rng, base, 1)) for _ in range(40)], [b"%d" % (i % 20) for i in range(40)])
+    assert len(O.tile_links(members, members, True, 0, 0.8)) == 19
 
 
 def test_odd_rows(spark):

@@ -9,11 +9,14 @@ The classes are the connected components of the near copies.
 
 Documents of equal words are one node. In each bucket of equal sketches, members are first
 aligned with the smallest member only. Buckets whose members then lie in one class are
-settled; in the others more members become centres, round after round, until every pair
-that could still join two classes has been looked at, so no link is lost and no bucket is
-ever expanded into all its pairs at once. Pairs are aligned when their lengths, a screen of
-further minima, and in later rounds the number of shingles they share allow it; lengths and
-shared shingles bound the similarity.
+settled. The members of the others are dealt, class by class, into groups of bounded size,
+and each two groups of a bucket form a tile: one matrix product counts the shingles that
+any two members of different classes share, which bounds their similarity, and the pairs it
+leaves are aligned, the likeliest first, until their classes have met. So no link between
+two classes is lost, a tile gives no more links than it has members, and neither a row nor
+a task ever holds a bucket as a whole. A pair that shares several buckets is looked at in
+the first. In the first round, lengths and a screen of further minima spare most alignments;
+a pair it drops by chance is met again in a tile.
 
 Defined cases: a null text has no words; documents without words are classes of their own
 and link to none; texts of one to four words are one shingle; repeated rows share a class;
@@ -25,10 +28,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierstone.llm.wu_manber import words_of
@@ -38,8 +43,10 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 16
 SKETCH_SIZE = 3
-# Centres that a bucket tries in one round, after the first round with one.
-CENTRES = 4096
+# A group has at most so many members and, unless it is one long text, so many shingles.
+GROUP_MEMBERS, GROUP_SHINGLES = 256, 1 << 18
+# A bucket of more members is grouped by several tasks.
+MEMBERS_PER_TASK = 8192
 # The screen: in each sketch's order, the smallest value among all shingles and in each of
 # ``BINS`` parts of them, cut to bytes. Near copies share each with the probability of
 # their similarity; at 0.8 fewer than these many are shared once in a million times.
@@ -192,16 +199,126 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "lanes": pa.array(screens, pa.list_(pa.int8()))})
 
 
-def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The labelled shingles of each text as different 32-bit numbers."""
+GROUP = "band int, key bigint, group bigint, one_root binary, nodes array<binary>, roots array<binary>, sketches binary, counts array<int>, shingles binary"
+GROUP_FIELDS = pa.schema([
+    ("band", pa.int32()), ("key", pa.int64()), ("group", pa.int64()), ("one_root", pa.binary()), ("nodes", pa.list_(pa.binary())),
+    ("roots", pa.list_(pa.binary())), ("sketches", pa.binary()), ("counts", pa.list_(pa.int32())), ("shingles", pa.binary()),
+])
+
+
+def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = []
-        for text in batch.column("text").cast(pa.binary()):
-            shingles = shingle_hashes(words_of(text.as_py() or b""))
-            with np.errstate(over="ignore"):
-                labelled = _mixed(shingles + occurrence_labels(shingles) * np.uint64(0x9E3779B97F4A7C15))
-            sets.append(np.unique((labelled >> np.uint64(32)).astype(np.uint32)).view(np.int32).tolist())
-        yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "shingles": pa.array(sets, pa.list_(pa.int32()))})
+        found = [shingle_hashes(words_of(t.as_py() or b"")).tobytes() for t in batch.column("text").cast(pa.binary())]
+        yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "shingles": pa.array(found, pa.binary())})
+
+
+def _groups(members: int, shingles: int):
+    """Members of buckets, which come in order of bucket and root, as rows of whole groups."""
+
+    def run(batches):
+        numbers = count(TaskContext.get().partitionId() << 32)
+        bucket, held, size = None, [], 0
+
+        def group() -> pa.RecordBatch:
+            nodes, roots, drawn, texts = zip(*held)
+            return pa.RecordBatch.from_pylist([{
+                "band": bucket[0], "key": bucket[1], "group": next(numbers), "one_root": roots[0] if len(set(roots)) == 1 else None,
+                "nodes": nodes, "roots": roots, "sketches": np.array(drawn, np.int64).tobytes(),
+                "counts": [len(t) // 8 for t in texts], "shingles": b"".join(texts)}], GROUP_FIELDS)
+
+        for batch in batches:
+            for band, key, node, root, drawn, text in zip(*[batch.column(c).to_pylist() for c in ("band", "key", "node", "root", "sketches", "shingles")]):
+                if held and (bucket != (band, key) or len(held) == members or size + len(text) > 8 * shingles):
+                    yield group()
+                    held, size = [], 0
+                bucket = band, key
+                held.append((node, root, drawn, text))
+                size += len(text)
+        if held:
+            yield group()
+
+    return run
+
+
+class Members:
+    """The texts of one group."""
+
+    def __init__(self, row: dict, suffix: str):
+        self.nodes, self.roots = row["nodes" + suffix], row["roots" + suffix]
+        self.n = np.array(row["counts" + suffix])
+        self.sketches = np.frombuffer(row["sketches" + suffix], np.int64).reshape(len(self.n), -1)
+        self.texts = np.split(np.frombuffer(row["shingles" + suffix], np.uint64), np.cumsum(self.n)[:-1])
+
+    def labelled(self) -> tuple[np.ndarray, np.ndarray]:
+        """All labelled shingles, and which member has them."""
+        with np.errstate(over="ignore"):
+            sets = [_mixed(t + occurrence_labels(t) * np.uint64(0x9E3779B97F4A7C15)) for t in self.texts]
+        return np.concatenate(sets), np.repeat(np.arange(len(self.n)), self.n)
+
+
+def shared_shingles(a: Members, b: Members, columns: int = 8192) -> np.ndarray:
+    """How many labelled shingles any two members have in common, by matrix products over the shingles of both groups."""
+    (left, row_a), (right, row_b) = a.labelled(), b.labelled()
+    common = np.intersect1d(left, right)
+    out = np.zeros((len(a.n), len(b.n)), np.float32)
+    at_a, at_b = (np.searchsorted(common, v) for v in (left, right))
+    in_a, in_b = (np.append(common, np.uint64(0))[at] == v for at, v in ((at_a, left), (at_b, right)))
+    in_a, in_b = in_a & (at_a < len(common)), in_b & (at_b < len(common))
+    at_a, row_a, at_b, row_b = at_a[in_a], row_a[in_a], at_b[in_b], row_b[in_b]
+    order_a, order_b = np.argsort(at_a, kind="stable"), np.argsort(at_b, kind="stable")
+    at_a, row_a, at_b, row_b = at_a[order_a], row_a[order_a], at_b[order_b], row_b[order_b]
+    for first in range(0, len(common), columns):
+        dense = []
+        for at, row, n in ((at_a, row_a, len(a.n)), (at_b, row_b, len(b.n))):
+            low, high = np.searchsorted(at, [first, first + columns])
+            part = np.zeros((n, min(columns, len(common) - first)), np.float32)
+            part[row[low:high], at[low:high] - first] = 1
+            dense.append(part)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def tile_links(a: Members, b: Members, same: bool, band: int, least: float) -> list[tuple[bytes, bytes]]:
+    """Near copies in different classes of two groups (or, ``same``, of one), as few as join the classes they join."""
+    names = {root: i for i, root in enumerate({*a.roots, *b.roots})}
+    root_a, root_b = (np.array([names[r] for r in m.roots]) for m in (a, b))
+    open_pairs = root_a[:, None] != root_b
+    if same:
+        open_pairs &= np.arange(len(a.n))[:, None] < np.arange(len(b.n))
+    open_pairs &= np.minimum(a.n[:, None], b.n) >= least * np.maximum(a.n[:, None], b.n)
+    for earlier in range(band):
+        open_pairs &= a.sketches[:, earlier, None] != b.sketches[:, earlier]
+    if not open_pairs.any():
+        return []
+    total = a.n[:, None] + b.n
+    shared = shared_shingles(a, b)
+    i, j = np.nonzero(open_pairs & (shared >= least / (1 + least) * total - 1e-3))
+    class_of = list(range(len(names)))
+
+    def find(x: int) -> int:
+        while class_of[x] != x:
+            class_of[x] = x = class_of[class_of[x]]
+        return x
+
+    links = []
+    for k in np.argsort(-shared[i, j] / total[i, j], kind="stable"):
+        x, y = find(root_a[i[k]]), find(root_b[j[k]])
+        if x != y and similarity(a.texts[i[k]], b.texts[j[k]], least) >= least:
+            class_of[x] = y
+            links.append((a.nodes[i[k]], b.nodes[j[k]]))
+    return links
+
+
+def _tiles(least: float, same: bool):
+    def run(batches):
+        for batch in batches:
+            links = []
+            for row in batch.to_pylist():
+                a = Members(row, "" if same else "_a")
+                links += tile_links(a, a if same else Members(row, "_b"), same, row["band"], least)
+            yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
+
+    return run
 
 
 def _aligned(least: float):
@@ -253,27 +370,35 @@ def _alike() -> Column:
         shared(1, BINS * SKETCHES) >= LEAST_SHARED)
 
 
-def _enough_shared(least: float) -> Column:
-    """Whether the shingles that two rows share, in any order, could reach the similarity.
-
-    Numbers lost to equal hashes of one text are given back, so no pair is left out.
-    """
-    lost = F.least(F.col("n_a") - F.size("shingles_a"), F.col("n_b") - F.size("shingles_b"))
-    shared = F.size(F.array_intersect("shingles_a", "shingles_b")) + lost
-    return shared >= F.lit(least / (1 + least) - 1e-9) * (F.col("n_a") + F.col("n_b"))
-
-
-def _first_common_band() -> Column:
-    """A pair that shares several buckets is looked at in the first of them."""
-    earlier = F.zip_with(F.slice("sketches_a", 1, F.col("band")), F.slice("sketches_b", 1, F.col("band")), lambda x, y: x == y)
-    return ~F.exists(earlier, lambda same: same)
-
-
 def _with_roots(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def _links_of_open_buckets(rooted: DataFrame, profiles: DataFrame, texts: DataFrame, least: float, group_members: int) -> DataFrame:
+    """Links between the classes that meet in buckets. Columns of ``rooted``: band, key, members, node, root."""
+    nodes = rooted.select("node").distinct()
+    sequences = texts.join(nodes, "node").mapInArrow(_sequences, "node binary, shingles binary").join(profiles, "node")
+    # Classes stay together where a large bucket is dealt to several tasks.
+    deal = F.pmod(F.xxhash64("root"), F.ceil(F.col("members") / MEMBERS_PER_TASK))
+    full = rooted.join(materialise(sequences, "open-texts"), "node").withColumn("deal", deal)
+    full = full.repartition("band", "key", "deal").sortWithinPartitions("band", "key", "root", "node")
+    full = full.select("band", "key", "node", "root", "sketches", "shingles")
+    groups = materialise(full.mapInArrow(_groups(group_members, GROUP_SHINGLES), GROUP), "bucket-groups")
+    links = "a binary, b binary"
+    inside = groups.where("one_root is null").mapInArrow(_tiles(least, True), links)
+    # Which groups meet is found without their texts, so no key of the joins that bring these is hot.
+    listed = groups.select("band", "key", "group", "one_root")
+    met = listed.toDF("band", "key", "group_a", "root_a").join(listed.toDF("band", "key", "group_b", "root_b"), ["band", "key"])
+    met = met.where("group_a < group_b and coalesce(root_a <> root_b, true)").select("group_a", "group_b")
+    met = materialise(met, "tiles")
+    carried = ["nodes", "roots", "sketches", "counts", "shingles"]
+    left = groups.select("band", F.col("group").alias("group_a"), *[F.col(c).alias(c + "_a") for c in carried])
+    right = groups.select(F.col("group").alias("group_b"), *[F.col(c).alias(c + "_b") for c in carried])
+    across = met.join(left, "group_a").join(right, "group_b").drop("group_a", "group_b").mapInArrow(_tiles(least, False), links)
+    return materialise(inside.unionByName(across), "bucket-links")
+
+
+def near_copies(docs: DataFrame, least: float = SIMILARITY, group_members: int = GROUP_MEMBERS) -> DataFrame:
     """One row per input row: doc_id, text_key, class_id (smallest doc_id of its class), kept.
 
     ``kept`` marks the row that stays for its class; rows alike in doc_id and text share it.
@@ -304,44 +429,17 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     pairs = buckets.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     pairs = pairs.join(profiles.drop("sketches").toDF("a", "n_a", "lanes_a"), "a").join(
         profiles.drop("sketches").toDF("b", "n_b", "lanes_b"), "b")
-    pairs = pairs.where(lengths).where(_alike()).select("a", "b")
-    tried = materialise(pairs, "pairs")
-    links = materialise(aligned(tried), "near-links")
-    open_buckets = buckets.where("node <> centre").select("band", "key", "node", "n")
-    roots, sets = materialise(components(links), "near-roots"), None
-    while True:
-        # A bucket is settled when what is left of it lies in one class.
-        rooted = _with_roots(open_buckets, roots)
-        mixed = rooted.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-        rooted = materialise(rooted.join(mixed.select("band", "key"), ["band", "key"], "left_semi"), "open-buckets")
-        if rooted.isEmpty():
-            break
-        if sets is None:
-            open_texts = texts.join(rooted.select("node").distinct(), "node")
-            sets = materialise(open_texts.mapInArrow(_shingle_sets, "node binary, shingles array<int>"), "shingle-sets")
-        # Members of the classes with the fewest rows in the bucket become centres.
-        rows = rooted.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("rows"))
-        turn = Window.partitionBy("band", "key").orderBy("rows", "root", "node")
-        chosen = rooted.join(rows, ["band", "key", "root"]).withColumn("turn", F.row_number().over(turn))
-        chosen = materialise(chosen.where(F.col("turn") <= CENTRES).select(
-            "band", "key", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a")), "centres")
-        # Both sides carry what decides, without their texts, whether a pair has to be aligned.
-        full = profiles.join(rooted.select("node").distinct(), "node").join(sets, "node")
-        members = rooted.select("band", "key", "node", "root").join(
-            full.toDF("node", "n_b", "lanes_b", "sketches_b", "shingles_b"), "node")
-        centres = chosen.drop("n_a").join(full.toDF("a", "n_a", "lanes_a", "sketches_a", "shingles_a"), "a")
-        pairs = members.join(centres, ["band", "key"]).where("root <> root_a").where(lengths)
-        pairs = pairs.where(_first_common_band()).where(_alike()).where(_enough_shared(least))
-        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = materialise(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
-        tried = materialise(known.unionByName(pairs), "pairs-tried")
-        fresh = materialise(aligned(pairs), "near-links")
-        if not fresh.isEmpty():
-            links = links.unionByName(fresh)
-            roots = materialise(components(links), "near-roots")
-        done = chosen.select("band", "key", F.col("a").alias("node"))
-        open_buckets = rooted.drop("root").join(done, ["band", "key", "node"], "left_anti")
+    pairs = materialise(pairs.where(lengths).where(_alike()).select("a", "b"), "pairs")
+    links = materialise(aligned(pairs), "near-links")
+    roots = materialise(components(links), "near-roots")
+    # A bucket is settled when its members lie in one class.
+    rooted = _with_roots(buckets.select("band", "key", "node"), roots)
+    mixed = rooted.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"))
+    mixed = mixed.where("lo <> hi").select("band", "key", "members")
+    rooted = materialise(rooted.join(mixed, ["band", "key"]), "open-buckets")
+    if not rooted.isEmpty():
+        links = links.unionByName(_links_of_open_buckets(rooted, profiles.select("node", "sketches"), texts, least, group_members))
+        roots = materialise(components(links), "near-roots")
 
     classed = _with_roots(nodes.select("node", "first"), roots)
     classes = classed.groupBy("root").agg(F.min("first").alias("stays"))

@@ -54,3 +54,21 @@ def test_odd_rows(spark):
     none = table_of_labels(spark, [])
     assert {r["predicted"] for r in C.score(docs, C.fit(docs, none)).collect()} == {0}
     assert C.score(docs.limit(0), C.fit(docs.limit(0), none)).collect() == []
+
+
+def test_both_dictionaries_are_trained():
+    rows, marks = corpus(400)
+    parts = {name: [(text.encode(), toxic) for (_, text), (_, _, toxic) in zip(rows, marks) if toxic == kind] for name, kind in (("toxic", 1), ("ordinary", 0))}
+    model = C.fitted({**parts, "calibration": []})
+    assert model.ordinary[:4] == model.toxic[:4] == b"\x37\xa4\x30\xec"  # the mark of trained dictionaries
+    assert all(model.features(word.encode())[0] >= 3 for word in MARKED) and model.features(b"alpha1 beta2")[0] <= 2
+    assert C.fitted({"toxic": [], "ordinary": parts["ordinary"], "calibration": []}).score(b"vilewort") < 0.01
+
+
+def test_held_out_area_under_the_curve(spark):
+    """Labels are noisy: the ten words that mark toxic documents reach 0.81 here, scores by chance 0.5."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    found = C.score(docs, C.fit(docs, labels)).where("held_out").join(labels, "doc_id").select("score", "toxic").collect()
+    high, low = ([r.score for r in found if r.toxic == kind] for kind in (1, 0))
+    area = sum((h > x) + 0.5 * (h == x) for h in high for x in low) / len(high) / len(low)
+    assert area > 0.79

@@ -1,18 +1,23 @@
 """Toxicity by compression distance to two zstandard dictionaries.
 
-A window is one word written three times, so that its own repetition is cheap and its
-first occurrence is what is priced. The dictionary of ordinary text is trained by
-zstandard on ordinary documents; the toxic one holds, besides, the windows typical of
-toxic documents: words that follow at least ``MIN_CONTEXTS`` different words there and
-are ``MIN_LIFT`` times as frequent as in ordinary text (different contexts, so that copies
-of a document do not make its words typical). A window's gain is how much shorter the toxic
-dictionary makes it. The gains of a document (largest, second largest, share) become a
-probability by a logistic curve fitted on labelled documents that the dictionaries have
-not seen.
-
-Both fits use bounded samples of the labelled training rows (``SAMPLE``), taken in the
-order of a hash of doc_id; scoring reads every text whole. Compressed lengths of words are
-remembered, at most ``CACHE_WORDS`` in a worker.
+Both dictionaries are trained by zstandard. The ordinary one learns from pieces of ordinary
+documents. The toxic one learns from windows of toxic documents that hold a word typical of
+them: the word with its neighbours, and the word three times. Typical are words that follow
+at least ``MIN_CONTEXTS`` different words there and are ``MIN_LIFT`` times as frequent as in
+ordinary text (different contexts, so that copies of a document do not make its words
+typical). Trained on whole documents, the toxic dictionary would spend its bytes on the
+common language and separate little.
+
+A window that is scored is one word written three times, so that its own repetition is cheap
+and its first occurrence is what is priced. Its gain is how much shorter it becomes when the
+toxic dictionary stands behind the ordinary one. The gains of a document (largest, second
+largest, logarithm of the sum) become a probability by a logistic curve fitted on labelled
+documents that the dictionaries have not seen.
+
+The fit uses bounded samples of the labelled training rows (``SAMPLE`` documents in the order
+of a hash of doc_id, no more than ``SAMPLE_BYTES`` of text each) and runs in one task; only
+the dictionaries and the curve come back. Scoring reads every text whole. Compressed lengths
+of words are remembered, at most ``CACHE_WORDS`` in a worker.
 
 Defined cases: a null text is empty and has no window, so its score is that of a document
 without gains; a null doc_id belongs to no fold and is never learnt from; of several
@@ -35,10 +40,13 @@ from pyspark.sql import functions as F
 from tierstone.llm.wu_manber import words_of
 
 SAMPLE = {"toxic": 1500, "ordinary": 6000, "calibration": 4000}
+SAMPLE_BYTES = 32 << 20
 DICTIONARY_BYTES = 1 << 16
+# The toxic dictionary has so many bytes for each byte of the typical words, within bounds.
+BYTES_FOR_TYPICAL, LEAST_BYTES = 16, 1024
 LEVEL = 16
 TIMES = 3
-MIN_CONTEXTS = 6
+MIN_CONTEXTS = 4
 MIN_LIFT = 20.0
 CACHE_WORDS = 1_000_000
 CUT_OFF = 0.3
@@ -124,17 +132,35 @@ def typical_windows(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     return sorted(chosen, key=lambda w: (there[w], w))
 
 
-def trained_dictionary(texts: list[bytes], size: int) -> bytes:
-    samples = []
-    for text in texts:
-        joined = b" ".join(words_of(text))
-        samples += [joined[i : i + 256] for i in range(0, len(joined), 256)]
+def _trained(samples: list[bytes], size: int) -> bytes:
     try:
         return zstandard.train_dictionary(size, samples, level=LEVEL).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: the text itself
         return b"".join(samples)[-size:]
 
 
+def ordinary_dictionary(texts: list[bytes]) -> bytes:
+    samples = []
+    for text in texts:
+        joined = b" ".join(words_of(text))
+        samples += [joined[i : i + 256] for i in range(0, len(joined), 256)]
+    return _trained(samples, DICTIONARY_BYTES)
+
+
+def toxic_dictionary(texts: list[bytes], typical: list[bytes]) -> bytes:
+    """Trained on the windows around typical words, each once for a document."""
+    wanted, samples = set(typical), []
+    for text in texts:
+        words, seen = words_of(text), set()
+        for k, word in enumerate(words):
+            window = tuple(words[max(0, k - 1) : k + 2])
+            if word in wanted and window not in seen:
+                seen.add(window)
+                samples += [b" " + b" ".join(window), (b" " + word) * TIMES]
+    size = BYTES_FOR_TYPICAL * sum(len(word) + 1 for word in typical)
+    return _trained(samples, min(DICTIONARY_BYTES, max(LEAST_BYTES, size))) if samples else b""
+
+
 def logistic(features: np.ndarray, labels: np.ndarray, penalty: float = 0.1, steps: int = 50) -> list[float]:
     """Weights of a logistic curve by penalised Newton steps; the first is the intercept."""
     x = np.column_stack([np.ones(len(features)), features])
@@ -149,6 +175,33 @@ def logistic(features: np.ndarray, labels: np.ndarray, penalty: float = 0.1, ste
     return [float(v) for v in w]
 
 
+def fitted(parts: dict[str, list[tuple[bytes, int]]]) -> Distance:
+    toxic, ordinary = ([text for text, _ in parts[name]] for name in ("toxic", "ordinary"))
+    if not toxic or not ordinary:
+        return Distance(b"", b"")
+    model = Distance(ordinary_dictionary(ordinary), toxic_dictionary(toxic, typical_windows(toxic, ordinary)))
+    if unseen := parts["calibration"]:
+        features = np.array([model.features(text) for text, _ in unseen])
+        model.weights = logistic(features, np.array([mark for _, mark in unseen], float))
+    return model
+
+
+def _fit_task(batches):
+    """The one fit, from the whole sample, which comes in the order of the parts and of the draw."""
+    parts: dict[str, list[tuple[bytes, int]]] = {name: [] for name in SAMPLE}
+    held = dict.fromkeys(SAMPLE, 0)
+    for batch in batches:
+        for name, text, toxic in zip(*[batch.column(c) for c in ("part", "text", "toxic")]):
+            name, text = name.as_py(), text.as_py()
+            held[name] += len(text)
+            if held[name] <= SAMPLE_BYTES:
+                parts[name].append((text, toxic.as_py()))
+    model = fitted(parts)
+    yield pa.RecordBatch.from_pydict({
+        "ordinary": pa.array([model.ordinary], pa.binary()), "toxic": pa.array([model.toxic], pa.binary()),
+        "weights": pa.array([model.weights], pa.list_(pa.float64()))})
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Distance:
     """Dictionaries and curve from labelled rows outside the held-out fold."""
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -160,23 +213,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Distance:
     }
     # Only the drawn ids meet the texts; their number is bounded, so they are broadcast.
     drawn = [
-        part.orderBy("turn", "doc_id").limit(SAMPLE[name]).select("doc_id", "toxic", F.lit(name).alias("part"))
+        part.orderBy("turn", "doc_id").limit(SAMPLE[name]).select("doc_id", "turn", "toxic", F.lit(name).alias("part"))
         for name, part in parts.items()
     ]
     drawn = F.broadcast(reduce(DataFrame.unionByName, drawn))
-    texts: dict[str, list] = {name: [] for name in parts}
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text")).join(drawn, "doc_id")
-    for row in sorted(found.select("part", "doc_id", "text", "toxic").collect()):
-        texts[row["part"]].append((bytes(row["text"]), row["toxic"]))
-    toxic, ordinary = ([text for text, _ in texts[name]] for name in ("toxic", "ordinary"))
-    if not toxic or not ordinary:
-        return Distance(b"", b"")
-    typical = typical_windows(toxic, ordinary)
-    model = Distance(trained_dictionary(ordinary, DICTIONARY_BYTES), b"".join((b" " + w) * TIMES for w in typical))
-    if unseen := texts["calibration"]:
-        features = np.array([model.features(text) for text, _ in unseen])
-        model.weights = logistic(features, np.array([mark for _, mark in unseen], float))
-    return model
+    found = found.repartition(1).sortWithinPartitions("part", "turn", "doc_id", "text").select("part", "text", F.col("toxic").cast("int").alias("toxic"))
+    row = found.mapInArrow(_fit_task, "ordinary binary, toxic binary, weights array<double>").first()
+    return Distance(b"", b"") if row is None else Distance(bytes(row.ordinary), bytes(row.toxic), list(row.weights))
 
 
 def score(docs: DataFrame, model: Distance) -> DataFrame:

@@ -142,7 +142,12 @@ def _in_partitions(df: DataFrame, columns: Sequence[str]) -> Column:
     """Whether a row lies in a partition ``df`` has rows for.
 
     The partition values come to the driver; their number is bounded by the table's layout.
+    Those of a single column are one list, which prunes folders for any number of days.
     """
+    if len(columns) == 1:
+        values = [r[0] for r in df.select(*columns).distinct().collect()]
+        listed = F.col(columns[0]).isin([v for v in values if v is not None])
+        return listed | F.col(columns[0]).isNull() if None in values else listed
     tests = [F.lit(False)]
     for values in df.select(*columns).distinct().collect():
         same = F.lit(True)

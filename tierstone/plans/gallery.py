@@ -18,7 +18,7 @@ from tierstone.functions import kpi
 from tierstone.functions.keys import surrogate_key
 from tierstone.functions.text import clean_str, truncated
 from tierstone.functions.times import VIENNA, hour_key, iso_utc, minutes_between
-from tierstone.operators import history, incremental, merge, outbox, quality, timeline
+from tierstone.operators import history, incremental, merge, outbox, quality, timeline, touched
 from tierstone.operators.enforce import enforce_schema, latest_per_key, stamp
 from tierstone.operators.history_table import HistoryTable
 from tierstone.plans import dimensions, facts, marts, trips
@@ -287,6 +287,102 @@ def revenue_per_player(spark: SparkSession, folder: str) -> DataFrame:
     return mart.select(*marts.HOURLY_GRAIN, "promo_rounds", "active_players", "revenue_per_player")
 
 
+@entry_point
+def active_players_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Months rolled up from the hourly mart, their estimated players held against the exact count of the rounds."""
+    fact = materialise(rounds_fact(spark, folder), "rounds-fact")
+    mart = materialise(marts.mart_gameround_hourly(fact, player_sketch=True), "mart")
+    month = F.floor(F.col("sk_date_time") / 10000).cast("int")
+    exact = fact.groupBy(month.alias("month"), "country_code").agg(F.count_distinct("sk_player").alias("players"))
+    rows = marts.roll_up(mart, month, out="month").join(exact, ["month", "country_code"], "left")
+    near = F.abs(F.col("active_players") - F.col("players")) <= F.greatest(F.lit(1), 0.04 * F.col("players"))
+    return rows.select("month", "country_code", "rounds", "bet_eur", "ggr_eur", "players", near.alias("estimate_is_near"))
+
+
+# --- groups that late changes touch ------------------------------------------------------
+
+
+@entry_point
+def fact_payments_late(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored payment fact after payments succeeded, failed and changed their hour long after the first load."""
+    now = materialise(full_payments(spark, folder), "payments")
+    last = F.right("payment_id", F.lit(1))
+    late, other = last == "3", last == "5"
+    before = now.withColumns({
+        "status_code": F.when(late, "PENDING").when(other, "SUCCEEDED").otherwise(F.col("status_code")),
+        "succeeded_at": F.when(other, F.col("created_at") - F.make_interval(days=F.lit(40))).otherwise(F.col("succeeded_at")),
+    })
+    methods, root = payment_methods(now), scratch_dir(spark, "payments-late")
+    grain, month = ["sk_payment", "sk_date_time"], F.floor(F.col("sk_date_time") / 10000).cast("int")
+
+    def run(rows: DataFrame, changed: DataFrame) -> None:
+        def build(groups: DataFrame | None) -> DataFrame:
+            fact = facts.fact_payments(rows, methods, now=NOW)
+            return fact if groups is None else touched.rows_of_groups(fact, groups, grain)
+
+        def stale(stored: DataFrame) -> DataFrame:
+            ids = changed.select(surrogate_key("payment_id", "country_code").alias("sk_payment"))
+            return touched.touched_groups(grain, stored.join(ids, "sk_payment", "left_semi"), facts.fact_payments(changed, methods))
+
+        touched.maintain(spark, f"{root}/fact", build, stale, grain, "month", month, f"{root}/stage")
+
+    run(before, before.limit(0))
+    run(now, now.filter(late | other))
+    run(now, now.limit(0))
+    return read_table(spark, f"{root}/fact").drop("month")
+
+
+@entry_point
+def kpi_late_tags(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored KPI fact after later transactions, and after players were tagged as testers, or not any more."""
+    transactions, games = warehouse.transactions(spark, folder), catalog(spark, folder)
+    log, day = warehouse.tags_log(spark, folder), F.floor(F.col("sk_date_time") / 100).cast("int")
+    early = log.filter(F.col("modified_at") < F.lit(SPLIT).cast("timestamp"))
+    tags_before, tags_now = (materialise(latest_per_key(rows, TAG_KEYS, "modified_at"), "tags") for rows in (early, log))
+    fresh = F.col("created_at") >= F.lit(EVENTS_AS_OF).cast("timestamp")
+    root, grain = scratch_dir(spark, "kpi-late"), ["sk_date_time", *PLAYER_KEYS]
+
+    def run(rows: DataFrame, tagged: DataFrame, changed: DataFrame, changed_tags: DataFrame) -> None:
+        keyed = rows.withColumn("sk_date_time", hour_key("created_at"))
+
+        def build(groups: DataFrame | None) -> DataFrame:
+            source = rows if groups is None else touched.rows_of_groups(keyed, groups, grain).drop("sk_date_time")
+            return facts.fact_txn_kpi(source, tagged, games, now=NOW)
+
+        def stale(stored: DataFrame) -> DataFrame:
+            players = changed_tags.select(*PLAYER_KEYS).distinct()
+            return touched.touched_groups(
+                grain, facts.succeeded_game_transactions(changed), facts.succeeded_game_transactions(rows).join(players, PLAYER_KEYS, "left_semi"),
+                stored.join(players, PLAYER_KEYS, "left_semi"))
+
+        touched.maintain(spark, f"{root}/fact", build, stale, grain, "kpi_day", day, f"{root}/stage")
+
+    run(transactions.filter(~fresh), tags_before, transactions.limit(0), log.limit(0))
+    run(transactions, tags_now, transactions.filter(fresh), log.filter(F.col("modified_at") >= F.lit(SPLIT).cast("timestamp")))
+    return read_table(spark, f"{root}/fact").drop("kpi_day")
+
+
+@entry_point
+def mart_hourly_late(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored hourly mart after rounds got new versions: they move to another hour, open again, or are new."""
+    log = warehouse.rounds_log(spark, folder)
+    late = F.col("created_at") >= F.lit(SPLIT).cast("timestamp")
+    before, now = (materialise(facts.fact_gameround(latest_per_key(rows, ROUND_KEYS, "version")), "rounds-fact") for rows in (log.filter(~late), log))
+    changed = materialise(log.filter(late).select(*ROUND_KEYS).distinct(), "changed-rounds")
+    root, month = scratch_dir(spark, "mart-late"), F.floor(F.col("sk_date_time") / 10000).cast("int")
+
+    def run(fact: DataFrame, stale: DataFrame) -> None:
+        def build(groups: DataFrame | None) -> DataFrame:
+            return marts.mart_gameround_hourly(fact if groups is None else touched.rows_of_groups(fact, groups, marts.HOURLY_GRAIN))
+
+        touched.maintain(spark, f"{root}/mart", build, lambda stored: stale, marts.HOURLY_GRAIN, "month", month, f"{root}/stage")
+
+    images = [fact.join(changed, ROUND_KEYS, "left_semi") for fact in (before, now)]
+    run(before, before.select(*marts.HOURLY_GRAIN).limit(0))
+    run(now, touched.touched_groups(marts.HOURLY_GRAIN, *images))
+    return read_table(spark, f"{root}/mart").drop("month")
+
+
 # --- dimensions --------------------------------------------------------------------------
 
 

@@ -471,6 +471,13 @@ SQL: dict[str, str] = {
           WHEN transaction_type IN ('ROLLBACK_WIN','ROLLBACK_CASHOUT') THEN -coalesce(amount_eur, 0)
           ELSE 0 END AS win FROM game_txn)""",
     "mart_hourly": with_(ROUND_FACT) + f"SELECT * EXCLUDE (revenue_per_player) FROM ({mart()})",
+    "active_players_rollup": with_(ROUND_FACT) + """SELECT CAST(sk_date_time // 10000 AS INTEGER) AS month, country_code,
+      count(round_id) AS rounds, CAST(round(sum(bet_amount_eur), 4) AS DOUBLE) AS bet_eur,
+      CAST(round(sum(ggr_eur), 4) AS DOUBLE) AS ggr_eur, count(DISTINCT sk_player) AS players, TRUE AS estimate_is_near
+      FROM round_fact GROUP BY ALL""",
+    "fact_payments_late": with_(PAY_FACT) + "SELECT * FROM pay_fact",
+    "kpi_late_tags": kpi_sql(),
+    "mart_hourly_late": with_(ROUND_FACT) + f"SELECT * EXCLUDE (revenue_per_player) FROM ({mart()})",
     "mart_hourly_increment": with_(
         ROUND_FACT, f"earlier AS ({mart(where=f'''created_at < TIMESTAMP '{ORDERS_AS_OF}' ''')})",
         f"late AS ({mart(where='sk_date_time >= 2001053000')})") + """

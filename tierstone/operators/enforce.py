@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from tierstone.contracts import TENANT
 from tierstone.functions.times import as_of_timestamp
 
+# Column of raw texts that did not convert.
+RESCUED = "_rescued"
 # Types without an order; they cannot break ties.
 _UNORDERED = (T.MapType, T.VariantType)
 
@@ -46,6 +48,34 @@ def malformed_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.filter(bad)
 
 
+def rescue(df: DataFrame, schema: T.StructType, out: str = RESCUED) -> DataFrame:
+    """The contract's columns as ``try`` gives them, and what they lost: a map of column to raw text.
+
+    The map is NULL where every filled value converts. One pass does both; ``split_rescued``
+    parts the rows afterwards.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    lost = []
+    for field in schema.fields:
+        if field.name in kinds and kinds[field.name] != field.dataType:
+            bad = F.col(field.name).isNotNull() & F.col(field.name).try_cast(field.dataType).isNull()
+            lost.append(F.when(bad, F.struct(F.lit(field.name).alias("k"), F.col(field.name).cast("string").alias("v"))))
+    if RESCUED in kinds:  # found by the reader already
+        kept = F.map_entries(F.coalesce(F.col(RESCUED), F.create_map().cast("map<string,string>")))
+        kept = F.transform(kept, lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))
+    else:
+        kept = F.array().cast("array<struct<k:string,v:string>>")
+    found = F.concat(kept, F.filter(F.array(*lost), lambda e: e.isNotNull())) if lost else kept
+    entries = F.map_from_entries(found)
+    return enforce_schema(df.withColumn("_lost", F.when(F.size(found) > 0, entries)), T.StructType([
+        *schema.fields, T.StructField("_lost", T.MapType(T.StringType(), T.StringType()))]), "try").withColumnRenamed("_lost", out)
+
+
+def split_rescued(rows: DataFrame, out: str = RESCUED) -> tuple[DataFrame, DataFrame]:
+    """Good rows in contract shape, and quarantined ones with the map of what they lost."""
+    return rows.filter(F.col(out).isNull()).drop(out), rows.filter(F.col(out).isNotNull())
+
+
 def stamp(df: DataFrame, country: str | None = None, now: datetime | str | None = None,
           out: str = "last_update") -> DataFrame:
     """Overwrite the country column (where given) and add the audit time."""

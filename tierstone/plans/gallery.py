@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,12 +19,13 @@ from tierstone.functions.keys import surrogate_key
 from tierstone.functions.text import clean_str, truncated
 from tierstone.functions.times import VIENNA, hour_key, iso_utc, minutes_between
 from tierstone.operators import history, incremental, merge, outbox, quality, timeline, touched
-from tierstone.operators.enforce import enforce_schema, latest_per_key, stamp
+from tierstone.operators.enforce import RESCUED, enforce_schema, latest_per_key, stamp
 from tierstone.operators.history_table import HistoryTable
 from tierstone.plans import dimensions, facts, marts, trips
 from tierstone.session import materialise, prepare, scratch_dir
 from tierstone.sources import calendar, warehouse
 from tierstone.sources.tables import read_table
+from tierstone.sources.trips_csv import trip_schema
 from tierstone.streaming import bronze, silver, silver_log as change_log
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,12 +135,26 @@ def station_performance(spark: SparkSession, folder: str) -> DataFrame:
 
 @entry_point
 def csv_bronze(spark: SparkSession, folder: str) -> DataFrame:
-    """Trips written as CSV, read back with the fixed schema."""
+    """Trips written as CSV, half of them with their columns in reverse and some with bad values, read back with the fixed schema."""
+    def degrees(base: float, station: str) -> Column:
+        return F.lit(base) + F.col(station).cast("double") / 1000
+
+    def spoiled(value: Column, station: str, divisor: int, text: str) -> Column:
+        return F.when(F.col(station).cast("int") % divisor == 0, text).otherwise(value.cast("string"))
+
+    rows, end = warehouse.trips(spark, folder), F.col("end_station_id").cast("int")
+    rows = rows.withColumns({
+        "start_lat": spoiled(degrees(40.0, "start_station_id"), "start_station_id", 13, "unknown"),
+        "start_lng": degrees(-74.0, "start_station_id"), "end_lat": degrees(40.0, "end_station_id"), "end_lng": degrees(-74.0, "end_station_id"),
+        "ended_at": spoiled(F.col("ended_at"), "end_station_id", 17, "n/a"),
+        "member_casual": F.when(end % 2 == 0, "member").otherwise("casual"),
+    }).select(*trip_schema().fieldNames())
     path = scratch_dir(spark, "trips-csv")
-    warehouse.trips(spark, folder).write.csv(path, header=True)
-    rows = trips.bronze(spark, path, trips.run_metadata("trips", "run-1", "bronze", NOW))
-    return rows.select("ride_id", "rideable_type", "started_at", "ended_at", "start_station_name",
-                       "end_station_id", "start_lat", F.col("metadata")["task_id"].alias("task_id"))
+    rows.filter(end % 3 != 0).write.csv(f"{path}/a", header=True)
+    rows.filter(end % 3 == 0).select(*reversed(rows.columns)).write.csv(f"{path}/b", header=True)
+    stored = trips.bronze(spark, path, trips.run_metadata("trips", "run-1", "bronze", NOW), rescued=True)
+    lost = F.transform(F.array_sort(F.map_entries(RESCUED)), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return stored.withColumns({"task_id": F.col("metadata")["task_id"], "rescued": F.array_join(lost, ";")}).drop("metadata", RESCUED)
 
 
 @entry_point

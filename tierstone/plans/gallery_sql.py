@@ -428,8 +428,14 @@ SQL: dict[str, str] = {
     "station_performance": with_(TRIPS) + """SELECT trip_start_date, start_station_name,
       round(avg(trip_duration_mins), 2) AS avg_trip_duration_mins, count(ride_id) AS total_trips
       FROM trip_silver GROUP BY ALL""",
-    "csv_bronze": with_(TRIPS) + """SELECT ride_id, 'classic_bike' AS rideable_type, started_at, ended_at,
-      start_station_name, end_station_id, CAST(NULL AS DOUBLE) AS start_lat, 'bronze' AS task_id FROM trips""",
+    "csv_bronze": with_(TRIPS) + """SELECT ride_id, 'classic_bike' AS rideable_type, started_at,
+      CASE WHEN e % 17 <> 0 THEN ended_at END AS ended_at, start_station_name, start_station_id, end_station_name, end_station_id,
+      CASE WHEN s % 13 <> 0 THEN CAST(40 AS DOUBLE) + CAST(s AS DOUBLE) / 1000 END AS start_lat,
+      CAST(-74 AS DOUBLE) + CAST(s AS DOUBLE) / 1000 AS start_lng, CAST(40 AS DOUBLE) + CAST(e AS DOUBLE) / 1000 AS end_lat,
+      CAST(-74 AS DOUBLE) + CAST(e AS DOUBLE) / 1000 AS end_lng, CASE WHEN e % 2 = 0 THEN 'member' ELSE 'casual' END AS member_casual,
+      'bronze' AS task_id, nullif(concat_ws(';', CASE WHEN e % 17 = 0 THEN 'ended_at=n/a' END,
+        CASE WHEN s % 13 = 0 THEN 'start_lat=unknown' END), '') AS rescued
+      FROM (SELECT *, CAST(start_station_id AS INTEGER) AS s, CAST(end_station_id AS INTEGER) AS e FROM trips)""",
     "overwrite_roundtrip": with_(TRIPS) + DAILY,
     "fact_txn_kpi": kpi_sql(),
     "fact_txn_kpi_lookback": kpi_sql(SINCE_EVENTS),

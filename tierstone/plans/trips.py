@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierstone.functions.times import with_date, with_duration_minutes
-from tierstone.sources.trips_csv import read_trips_csv
+from tierstone.sources.trips_csv import read_trips_csv, read_trips_rescued
 
 # Silver contract and run-metadata keys.
 SILVER_COLUMNS = (
@@ -28,8 +28,9 @@ def run_metadata(pipeline_id: str, run_id: str, task_id: str, processed: datetim
 
 
 def bronze(spark: SparkSession, path: str, metadata: Column | None = None,
-           schema: T.StructType | None = None) -> DataFrame:
-    rows = read_trips_csv(spark, path, schema)
+           schema: T.StructType | None = None, rescued: bool = False) -> DataFrame:
+    """Trips as landed; ``rescued`` keeps the raw text of values that do not parse, and reads columns by their names."""
+    rows = read_trips_rescued(spark, path, schema) if rescued else read_trips_csv(spark, path, schema)
     return rows if metadata is None else rows.withColumn("metadata", metadata)
 
 

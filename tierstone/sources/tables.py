@@ -45,6 +45,25 @@ def has_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> bool:
     return False
 
 
+def file_paths(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """All files with the suffix in ``path`` and below, sorted."""
+    fs, p = _fs(spark, path)
+    found, listing = [], fs.listFiles(p, True) if fs.exists(p) else None
+    while listing is not None and listing.hasNext():
+        file = listing.next().getPath().toString()
+        if file.endswith(suffix):
+            found.append(file)
+    return sorted(found)
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    reader = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    line = reader.readLine()
+    reader.close()
+    return line
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

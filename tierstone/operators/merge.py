@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from itertools import zip_longest
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.contracts import TableContract
@@ -75,12 +75,20 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], version_co
     return stored.join(arrived, keys, "full_outer").select(row.alias("_row")).select("_row.*")
 
 
+def _action_counts() -> list[Column]:
+    names = {"inserted": INSERT, "updated": UPDATE, "unchanged": UNCHANGED}
+    return [F.count_if(F.col(ACTION) == action).alias(name) for name, action in names.items()]
+
+
 def upsert_metrics(changes: DataFrame) -> DataFrame:
     """One row: inserted, updated and unchanged counts of a classified change set."""
-    def n(action: str) -> Column:
-        return F.count_if(F.col(ACTION) == action)
+    return changes.agg(*_action_counts())
+
 
-    return changes.agg(n(INSERT).alias("inserted"), n(UPDATE).alias("updated"), n(UNCHANGED).alias("unchanged"))
+def observed_changes(changes: DataFrame) -> tuple[DataFrame, Observation]:
+    """The change set, and the same counts, known as soon as it has been written once."""
+    seen = Observation()
+    return changes.observe(seen, *_action_counts()), seen
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierstone.functions.times import as_of_date, col_of, hour_key_date
@@ -113,6 +113,20 @@ class RowCheck:
     severity: str = "error"
 
 
+class ObservedChecks:
+    """Row checks counted by whatever job writes or reads ``rows``, without a pass of their own."""
+
+    def __init__(self, df: DataFrame, checks: Sequence[RowCheck]):
+        self.spark, self.checks, self.seen = df.sparkSession, list(checks), Observation()
+        self.rows = df.observe(self.seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c.failing).alias(f"_{i}") for i, c in enumerate(checks)])
+
+    def report(self) -> DataFrame:
+        """(check_name, severity, failures); waits for the first job over ``rows``."""
+        counts = self.seen.get
+        found = [(c.name, c.severity, counts[f"_{i}"]) for i, c in enumerate(self.checks)]
+        return self.spark.createDataFrame(found, "check_name string, severity string, failures bigint")
+
+
 def run_row_checks(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     """All row checks in one pass: (check_name, severity, failures)."""
     counts = df.agg(*[F.count_if(c.failing).alias(f"_{i}") for i, c in enumerate(checks)])

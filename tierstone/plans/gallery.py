@@ -792,23 +792,34 @@ def dq_map_keys(spark: SparkSession, folder: str) -> DataFrame:
     return quality.missing_map_keys(rows, "metadata", trips.METADATA_KEYS).select("ride_id", "start_station_id")
 
 
-@entry_point
-def dq_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Row checks of the payment fact in one pass, and its key checks."""
-    fact = materialise(payments_fact(spark, folder), "payments-fact")
-    checks = [
+def payment_checks() -> list[quality.RowCheck]:
+    return [
         quality.RowCheck("sk_payment_not_null", F.col("sk_payment").isNull()),
         quality.RowCheck("amount_positive", F.col("amount_eur") <= 0),
         quality.RowCheck("country_accepted", ~F.col("country_code").isin(*COUNTRIES)),
         quality.RowCheck("method_known", F.col("sk_payment_method").isNull(), "warn"),
     ]
+
+
+@entry_point
+def dq_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same row checks, counted while the fact is written."""
+    watched = quality.ObservedChecks(payments_fact(spark, folder), payment_checks())
+    merge.overwrite_table(watched.rows, f"{scratch_dir(spark, 'payments')}/fact", ["country_code"])
+    return watched.report()
+
+
+@entry_point
+def dq_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Row checks of the payment fact in one pass, and its key checks."""
+    fact = materialise(payments_fact(spark, folder), "payments-fact")
     hours = calendar.distinct_hours(order_calendar(spark, folder), VIENNA)
     keys = quality.tally({
         "sk_payment_unique": ("error", quality.unique(fact, "sk_payment")),
         "hour_in_calendar": ("warn", quality.relationships(fact, "sk_date_time", hours, "sk_date_time")),
         "table_not_empty": ("error", quality.empty_table(fact)),
     })
-    return quality.run_row_checks(fact, checks).unionByName(keys)
+    return quality.run_row_checks(fact, payment_checks()).unionByName(keys)
 
 
 # --- streaming -----------------------------------------------------------------------------------
@@ -944,14 +955,14 @@ def silver_log(spark: SparkSession, folder: str) -> DataFrame:
 
 @entry_point
 def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Ingested rows and upsert counts per landing and country."""
+    """Ingested files and rows and upsert counts per landing and country; a landing is one file for each country."""
     streams = RoundStreams(spark, folder)
     rows = []
     for number, drop in enumerate(_drops(spark, folder), start=1):
-        streams.land(drop)
+        streams.land(drop.coalesce(1))
         loaded = streams.for_each_country(streams.ingest)
         merged = streams.for_each_country(streams.merge)
-        rows += [(number, c, loaded[c].rows, merged[c].inserted, merged[c].updated, merged[c].unchanged)
+        rows += [(number, c, loaded[c].files, loaded[c].rows, merged[c].inserted, merged[c].updated, merged[c].unchanged)
                  for c in COUNTRIES]
     return spark.createDataFrame(
-        rows, "landing int, country_code string, rows_ingested long, inserted long, updated long, unchanged long")
+        rows, "landing int, country_code string, files_ingested long, rows_ingested long, inserted long, updated long, unchanged long")

@@ -342,6 +342,13 @@ FROM src s LEFT JOIN open_rows o ON s.tag_id = o.tag_id AND s.country_code = o.c
 WHERE o.tag_id IS NULL OR s.modified_at > o.updated_at"""
 
 
+PAYMENT_CHECKS = """
+      SELECT 'sk_payment_not_null' AS check_name, 'error' AS severity, count(*) FILTER (sk_payment IS NULL) AS failures FROM pay_fact
+      UNION ALL SELECT 'amount_positive', 'error', count(*) FILTER (amount_eur <= 0) FROM pay_fact
+      UNION ALL SELECT 'country_accepted', 'error', count(*) FILTER (country_code NOT IN ('de', 'at', 'dk')) FROM pay_fact
+      UNION ALL SELECT 'method_known', 'warn', count(*) FILTER (sk_payment_method IS NULL) FROM pay_fact"""
+
+
 def stored_tag_history() -> str:
     """Three runs: the early state, the later active tags, all later tags."""
     sk = key("tag_id", "country_code", "modified_at")
@@ -608,11 +615,8 @@ SQL: dict[str, str] = {
     "dq_order": with_(TRIPS) + f"""SELECT * FROM (SELECT * REPLACE (avg_trip_duration_mins * 3 AS avg_trip_duration_mins) FROM ({DAILY}))
       WHERE max_trip_duration_mins < avg_trip_duration_mins OR avg_trip_duration_mins < min_trip_duration_mins""",
     "dq_map_keys": with_(TRIPS) + "SELECT ride_id, start_station_id FROM trips WHERE start_station_name IS NULL",
-    "dq_report": with_(PAY_FACT, CALENDAR) + """
-      SELECT 'sk_payment_not_null' AS check_name, 'error' AS severity, count(*) FILTER (sk_payment IS NULL) AS failures FROM pay_fact
-      UNION ALL SELECT 'amount_positive', 'error', count(*) FILTER (amount_eur <= 0) FROM pay_fact
-      UNION ALL SELECT 'country_accepted', 'error', count(*) FILTER (country_code NOT IN ('de', 'at', 'dk')) FROM pay_fact
-      UNION ALL SELECT 'method_known', 'warn', count(*) FILTER (sk_payment_method IS NULL) FROM pay_fact
+    "dq_observed": with_(PAY_FACT) + PAYMENT_CHECKS,
+    "dq_report": with_(PAY_FACT, CALENDAR) + PAYMENT_CHECKS + """
       UNION ALL SELECT 'sk_payment_unique', 'error', count(*) FROM (SELECT sk_payment FROM pay_fact GROUP BY 1 HAVING count(*) > 1)
       UNION ALL SELECT 'hour_in_calendar', 'warn', count(DISTINCT sk_date_time) FROM pay_fact
         WHERE sk_date_time NOT IN (SELECT sk_date_time FROM calendar WHERE timezone = 'Europe/Vienna')
@@ -629,10 +633,10 @@ SQL: dict[str, str] = {
       SELECT {ROUND_COLUMNS}, TIMESTAMP '{NOW}' AS last_update, compacted
       FROM rounds CROSS JOIN (SELECT unnest([0, 1]) AS compacted)""",
     "stream_metrics": with_(SPLIT_ROUNDS) + f"""
-      SELECT 1 AS landing, b.country_code, (SELECT count(*) FROM rounds_log r WHERE {EARLY} AND r.country_code = b.country_code) AS rows_ingested,
+      SELECT 1 AS landing, b.country_code, CAST(1 AS BIGINT) AS files_ingested, (SELECT count(*) FROM rounds_log r WHERE {EARLY} AND r.country_code = b.country_code) AS rows_ingested,
         count(*) AS inserted, CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS unchanged FROM before_split b GROUP BY b.country_code
       UNION ALL
-      SELECT 2, a.country_code, (SELECT count(*) FROM rounds_log r WHERE NOT ({EARLY}) AND r.country_code = a.country_code),
+      SELECT 2, a.country_code, CAST(1 AS BIGINT), (SELECT count(*) FROM rounds_log r WHERE NOT ({EARLY}) AND r.country_code = a.country_code),
         count(*) FILTER (b.round_id IS NULL), count(*) FILTER (a.version > b.version), count(*) FILTER (a.version <= b.version)
       FROM after_split a LEFT JOIN before_split b ON a.round_id = b.round_id AND a.country_code = b.country_code
       GROUP BY a.country_code""",

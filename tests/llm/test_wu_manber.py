@@ -3,6 +3,7 @@ import re
 
 import frames
 import pytest
+from pyspark.sql import functions as F
 
 from tierstone.llm import wu_manber as W
 
@@ -71,3 +72,20 @@ def test_copies_of_a_benchmark_text_are_searched_once(spark):
     assert max(sizes) <= size and sum(sizes) == sum(len(t) for t in {t for _, t in rows})
     found = W.find_benchmark(frames.docs(spark, [(1, text), (2, "nothing")]), bench, pass_bytes=size).collect()
     assert {r["doc_id"]: r["items"] for r in found} == {1: sorted(str(k) for k in range(60)), 2: []}
+
+
+def test_clean_documents_stay_spread_out(spark):
+    """All of them have the same empty list of items, and must not meet in one task."""
+    rows = [(k, f"clean text number {k} of many that hit nothing") for k in range(400)] + [(1000, " ".join(f"w{k}" for k in range(12)))]
+    bench = spark.createDataFrame([("i", " ".join(f"w{k}" for k in range(12)))], "item_id string, text string")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = W.find_benchmark(frames.docs(spark, rows).repartition(8), bench)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 401 and max(sizes) < 150
+        assert [r["doc_id"] for r in found.where("n_hit > 0").collect()] == [1000]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -177,8 +177,11 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     hits = found.where(F.size("items") > 0).select(F.col("items").alias("hits")).distinct()
     hits = hits.withColumn("text_key", F.explode("hits")).join(named, "text_key")
     hits = hits.groupBy("hits").agg(F.array_distinct(F.flatten(F.collect_list("named"))).alias("named"))
-    found = found.join(hits, found["items"] == hits["hits"], "left")
-    names = F.sort_array(F.coalesce("named", F.array().cast("array<string>"))).alias("items")
+    # Most documents hit nothing: with one and the same empty list, they stay out of the join.
+    some, none = F.size("items") > 0, F.array().cast("array<string>")
+    with_hits = found.where(some).join(hits, F.col("items") == F.col("hits"), "left").drop("hits")
+    found = with_hits.unionByName(found.where(~some).withColumn("named", none))
+    names = F.sort_array(F.coalesce("named", none)).alias("items")
     return found.select("doc_id", "n_words", _covered(F.col("spans")).alias("n_hit"), "spans", names)
 
 

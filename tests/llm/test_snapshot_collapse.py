@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import frames
 import pytest
+from pyspark.sql import functions as F
 
 from tierstone.llm import snapshot_collapse as S
 
@@ -53,3 +54,19 @@ def test_field_borders_matter(spark, texts):
     rows = [(1, 0, "user", texts[0]), (1, 1, "user", texts[1]), (2, 0, "user", texts[0] + "|"), (2, 1, "user", texts[1]), (2, 2, "x", "y")]
     table = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
     assert frames.rows_of(S.collapse_and_render(table).select("conv_id", "n_turns", "copies", "text")) == brute(rows)
+
+
+def test_one_conversation_of_a_third_of_all_turns_is_dealt_out(spark):
+    rows = [(7, k // 3, "user", f"word {k % 50}") for k in range(1500)] + [(None, 0, "user", "same")] * 1500
+    rows += [(100 + c, k, "user", f"word {k}") for c in range(500) for k in range(3)]
+    table = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
+    slots = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = S.collapse_and_render(table)
+        assert frames.rows_of(found.select("conv_id", "n_turns", "copies", "text")) == brute(rows)
+        dealt = table.withColumn("copy", F.monotonically_increasing_id()).repartitionByRange("conv_id", "turn", "role", "text", "copy")
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 0.4 * len(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", slots)

@@ -51,6 +51,35 @@ def test_names_that_only_mention_furniture_keep_their_text():
     assert H.main_text(f"<body><div>{body}</div><x-ad class='ad'>{LONG}</x-ad></body>") == want
 
 
+def test_a_form_around_the_page_keeps_its_text():
+    controls = "<label>Name</label><input name=x><button>Send</button><select><option>one</option></select>"
+    page = f"<body><form action=/x><div><h2>Head</h2><p>{LONG}</p><p>{LONG}</p></div>{controls}</form><form><p>Sign up</p></form></body>"
+    assert H.main_text(page) == "\n\n".join(["Head", LONG.strip(), LONG.strip()])
+    assert H.main_text(f"<article><p>{LONG}</p><form><p>Sign up today</p>{controls}</form><p>{LONG}</p></article>") == "\n\n".join([LONG.strip()] * 2)
+
+
+def test_short_blocks_in_their_own_elements_stay():
+    text, menu = LONG.strip(), "<ul>" + "".join(f"<li><a href=x>go {k}</a></li>" for k in range(9)) + "</ul>"
+    for inner, want in (("<ul><li>one</li><li>two</li></ul>", ["one", "two"]), ("<pre>x = 1</pre>", ["x = 1"]), ("<h3>Next</h3><p>Tiny.</p>", ["Next", "Tiny."])):
+        for page in (f"<p>{LONG}</p><div>{inner}</div><p>{LONG}</p>", f"<div><p>{LONG}</p></div><div>{inner}</div><div><p>{LONG}</p></div>"):
+            assert H.main_text(f"<body>{menu}<div>{page}</div>{menu}</body>") == "\n\n".join([text, *want, text])
+    between = f"<div><p>{LONG}</p></div><div>{menu}</div><div><p>{LONG}</p></div>"
+    assert H.main_text(f"<body><div>{between}</div></body>") == "\n\n".join([text, text])
+
+
+def test_layout_tables_lose_their_menu_cell():
+    menu = "<br>".join(f"<a href=x>go {k}</a>" for k in range(15))
+    page = f"<body><table><tr><td>{menu}</td><td><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></td></tr></table></body>"
+    assert H.main_text(page) == "\n\n".join(["Head", LONG.strip(), LONG.strip()])
+    data = f"<body><div><p>{LONG}</p><p>{LONG}</p><table><tr><td>a</td><td>b</td></tr></table></div></body>"
+    assert H.main_text(data) == "\n\n".join([LONG.strip(), LONG.strip(), "a", "b"])
+
+
+def test_reader_responses_go():
+    replies = "".join(f"<p>I liked this one, reader {k}.</p>" for k in range(3))
+    assert H.main_text(f"<body><div><p>{LONG}</p><p>{LONG}</p></div><div class='responses'>{replies}</div></body>") == "\n\n".join([LONG.strip()] * 2)
+
+
 def test_broken_pages():
     assert H.main_text(None) == H.main_text("") == H.main_text("<p></p>") == ""
     assert H.main_text("<head><title>t<body><p>only text") in ("", "only text")

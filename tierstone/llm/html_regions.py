@@ -13,7 +13,8 @@ reader comments) are left out beforehand, by tag name or by the names in class,
 A name counts as a whole: not when it only tells a state (``has-sidebar``,
 ``comments-open``), and never for articles and headings. An element named so that holds
 the bulk of the page's dense text stays; one named for other text (adverts, reader comments)
-only if no dense text is elsewhere.
+only if no dense text is elsewhere. A form counts like a named element, so one around the
+whole page keeps the text and loses its controls and labels.
 
 Defined cases: a null or empty page gives the empty text; repeated pages give repeated
 rows; unclosed tags end where an enclosing element ends; an unclosed script runs to the
@@ -41,14 +42,14 @@ BLOCK = frozenset(
     "thead title tr ul".split()
 )
 NEVER = frozenset(
-    "script style noscript template head title svg math iframe object canvas audio video nav footer aside form button "
-    "select option textarea input label fieldset dialog menu".split()
+    "script style noscript template head title svg math iframe object canvas audio video nav footer aside button "
+    "select option textarea input label legend dialog menu".split()
 )
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice alert popup modal overlay sidebar sidebars rail widget widgets menu nav navbar navigation breadcrumb breadcrumbs "
     "pagination pager footer topbar masthead toolbar search login signup subscribe subscription newsletter share sharing "
-    "social related recommended teaser comment comments commentlist disqus discussion reply replies respond complementary "
+    "social related recommended teaser comment comments commentlist disqus discussion reply replies respond response responses complementary "
     "contentinfo".split()
 )
 STATES = frozenset(
@@ -56,14 +57,15 @@ STATES = frozenset(
     "show shown count layout wrap wrapper container page free".split()
 )
 # Names that themes also give to elements around the whole page; the others name short or foreign text.
-LAYOUT = frozenset("alert banner header login masthead modal notice overlay popup rail search sidebar sidebars social widget widgets".split())
+FORM = frozenset("form fieldset".split())
+LAYOUT = FORM | frozenset("alert banner header login masthead modal notice overlay popup rail search sidebar sidebars social widget widgets".split())
 # Words that are as likely the anchor of a chapter as the name of furniture.
 ANCHORS = frozenset("ad alert banner consent discussion notice promotion related reply replies respond search share sharing social".split())
 HEADED = frozenset("article content entry main post story text title".split())
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i img ins kbd mark q s samp small span strong sub sup time u var".split())
 PAGE_HEADER = frozenset("header banner masthead".split())
 REGION = frozenset("article main".split())
-CONTAINER = REGION | frozenset("div section body".split())
+CONTAINER = REGION | frozenset("div section body td".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 NAMING = frozenset("class id role".split())
 WORD = re.compile(r"[a-z]+")
@@ -71,11 +73,14 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class RegionParser(HTMLParser):
-    """Collects the lines of one page: text, number of tags, region, whether it is a heading, and named element."""
+    """Collects the lines of one page: text, number of tags, region, whether it is a heading, named element, characters in links."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, int]] = []
+        self.lines: list[tuple[str, int, int, bool, int, int]] = []
+        self.around: dict[int, int] = {}  # container to the one around it
+        self.cells: set[int] = set()
+        self.links = self.linked = 0
         self.open: list[tuple[str, bool, int, int, int]] = []  # tag, left out, region, container, named
         self.named: dict[int, tuple[int, bool]] = {}  # element named as furniture: the one around it, layout only
         self.ends: dict[int, int] = {}  # closed container to the last element in it
@@ -89,9 +94,9 @@ class RegionParser(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             _, region, container, named = self._state()
-            self.lines.append((text, self.tags, region or container, bool(self.open) and self.open[-1][0] in HEADING, named))
+            self.lines.append((text, self.tags, region or container, bool(self.open) and self.open[-1][0] in HEADING, named, self.linked))
         self.parts.clear()
-        self.tags = 0
+        self.tags = self.linked = 0
 
     def _furniture(self, tag: str, attrs: list, region: int) -> set[str]:
         """Words of furniture among the names of an element."""
@@ -110,7 +115,7 @@ class RegionParser(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         left_out, region, container, named = self._state()
-        words = set() if left_out or tag in VOID else self._furniture(tag, attrs, region)
+        words = set() if left_out or tag in VOID else self._furniture(tag, attrs, region) | ({tag} & FORM)
         if tag in BLOCK or (words and tag not in INLINE):
             self._end_line()
         self.tags += 1
@@ -118,6 +123,7 @@ class RegionParser(HTMLParser):
             self.parts.append(" ")
         if tag == "body":
             self.open.clear()  # an unclosed head ends here
+            self.links = 0
         if tag in VOID:
             return
         if tag == "body":
@@ -130,6 +136,11 @@ class RegionParser(HTMLParser):
             named = self.count
         if tag in REGION and not left_out and not region:
             region = self.count
+        if tag in CONTAINER:
+            self.around[self.count] = container
+            if tag == "td":
+                self.cells.add(self.count)
+        self.links += tag == "a"
         self.open.append((tag, left_out, region, self.count if tag in CONTAINER else container, named))
 
     def handle_endtag(self, tag):
@@ -141,14 +152,16 @@ class RegionParser(HTMLParser):
                 if self.open[at][4] != (self.open[at - 1][4] if at else 0):
                     self._end_line()
                 self.ends.update((o[3], self.count) for o in self.open[at:] if o[0] in CONTAINER)
+                self.links -= sum(o[0] == "a" for o in self.open[at:])
                 del self.open[at:]
                 return
 
     def handle_data(self, data):
         if not self._state()[0]:
             self.parts.append(data)
+            self.linked += len(data.strip()) if self.links > 0 else 0
 
-    def finish(self) -> list[tuple[str, int, int, bool, int]]:
+    def finish(self) -> list[tuple[str, int, int, bool, int, int]]:
         self.close()
         self._end_line()
         return self.lines
@@ -160,7 +173,7 @@ def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(np.pad(values, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
-def unnamed(lines: list[tuple[str, int, int, bool, int]], named: dict[int, tuple[int, bool]], sigma: float, share: float):
+def unnamed(lines: list[tuple[str, int, int, bool, int, int]], named: dict[int, tuple[int, bool]], sigma: float, share: float):
     """The lines outside elements named as furniture, or in one that holds the bulk of the dense text."""
     if not named:
         return lines
@@ -178,7 +191,7 @@ def unnamed(lines: list[tuple[str, int, int, bool, int]], named: dict[int, tuple
     return [line for line in lines if line[4] in stay]
 
 
-def content_regions(lines: list[tuple[str, int, int, bool, int]], sigma: float, share: float) -> set[int]:
+def content_regions(lines: list[tuple[str, int, int, bool, int, int]], sigma: float, share: float) -> set[int]:
     """Regions that hold a content line and whose own text-to-tag ratio is that of content."""
     ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, *_ in lines], float), sigma)
     least = min(share * ratios.std(), ratios.max())
@@ -201,8 +214,9 @@ def main_text(html: str | None, sigma: float = SIGMA, share: float = THRESHOLD)
     if not lines:
         return ""
     chosen = content_regions(lines, sigma, share)
+    chosen |= _going_on(lines, chosen, parser)
     kept, below = [], 0
-    for text, _, region, heading, _ in reversed(lines):
+    for text, _, region, heading, *_ in reversed(lines):
         if region in chosen:
             below = region
         elif not (heading and region <= below <= parser.ends.get(region, parser.count)):
@@ -212,6 +226,27 @@ def main_text(html: str | None, sigma: float = SIGMA, share: float = THRESHOLD)
     return "\n\n".join(reversed(kept))
 
 
+def _going_on(lines: list[tuple[str, int, int, bool, int, int]], chosen: set[int], parser: RegionParser) -> set[int]:
+    """Short regions inside the selected text: between two selected ones of one element, or cells of a selected region."""
+    chars, linked = {}, {}
+    for text, _, region, _, _, links in lines:
+        chars[region] = chars.get(region, 0) + len(text)
+        linked[region] = linked.get(region, 0) + links
+    text_like = {r for r in chars if r not in chosen and 2 * linked[r] <= chars[r]}
+    outer = parser.around.get
+    found = {r for r in text_like & parser.cells if outer(r) in chosen}
+    before, run = None, set()
+    for region in [line[2] for line in lines]:
+        if region not in chosen:
+            run.add(region)
+            continue
+        if before is not None:
+            # On both sides the selected region is the element around this one, or lies in it too.
+            found |= {r for r in run & text_like if outer(r) in {before, outer(before, -1)} & {region, outer(region, -1)}}
+        before, run = region, set()
+    return found
+
+
 def extract(pages: DataFrame, sigma: float = SIGMA, share: float = THRESHOLD) -> DataFrame:
     """page_id, url, text, n_chars for every page."""
 

@@ -191,9 +191,7 @@ def fact_txn_kpi_window(spark: SparkSession, folder: str) -> DataFrame:
     target = materialise(_txn_kpi(spark, folder), "kpi").withColumn("last_update", F.lit("2024-01-01").cast("timestamp"))
     rebuilt = _txn_kpi(spark, folder, incremental=True, as_of=EVENTS_AS_OF)
     first = hour_key(incremental.lookback_start(2, EVENTS_AS_OF).cast("timestamp"))
-    merged = merge.replace_window(target, rebuilt, F.col("sk_date_time") >= first)
-    return merged.groupBy("country_code", "last_update").agg(
-        F.count(F.lit(1)).alias("row_count"), kpi.money_sum("ggr_eur").alias("ggr_eur"))
+    return merge.replace_window(target, rebuilt, F.col("sk_date_time") >= first)
 
 
 @entry_point
@@ -256,8 +254,7 @@ def fact_payments(spark: SparkSession, folder: str) -> DataFrame:
 @entry_point
 def fact_payments_lookback(spark: SparkSession, folder: str) -> DataFrame:
     rows = full_payments(spark, folder)
-    fact = facts.fact_payments(rows, payment_methods(rows), incremental=True, lookback_days=30, as_of=ORDERS_AS_OF, now=NOW)
-    return fact.select("sk_payment", "payment_id", "sk_date_time", "net_amount_eur", "created_at")
+    return facts.fact_payments(rows, payment_methods(rows), incremental=True, lookback_days=30, as_of=ORDERS_AS_OF, now=NOW)
 
 
 @entry_point
@@ -271,9 +268,7 @@ def fact_gameround_increment(spark: SparkSession, folder: str) -> DataFrame:
     stored = materialise(rounds(spark, folder), "rounds")
     loaded = facts.fact_gameround(stored).filter(F.col("updated_at") < F.lit(SPLIT).cast("timestamp"))
     fresh = facts.fact_gameround(stored, loaded)
-    merged = merge.keyed_merge(loaded, fresh, ROUND_KEYS)
-    return merged.groupBy("country_code", "is_promotional").agg(
-        F.count(F.lit(1)).alias("rounds"), kpi.money_sum("ggr_eur").alias("ggr_eur"))
+    return merge.keyed_merge(loaded, fresh, ROUND_KEYS)
 
 
 @entry_point
@@ -281,6 +276,49 @@ def fact_game_revenue(spark: SparkSession, folder: str) -> DataFrame:
     return facts.fact_game_revenue(warehouse.transactions(spark, folder))
 
 
+def _stored_model(spark: SparkSession, name: str, build: Callable[[DataFrame | None], DataFrame], everything: DataFrame,
+                  keys: list[str], partition: Column) -> DataFrame:
+    """A model as a table: loaded, merged, run idle, and then refreshed in full; the rows before and after the refresh."""
+    root = scratch_dir(spark, name)
+
+    def run(model: Callable[[DataFrame | None], DataFrame], full_refresh: bool = False) -> None:
+        merge.load_incremental(spark, f"{root}/table", lambda loaded: model(loaded).withColumn("part", partition), keys, ["part"],
+                               f"{root}/stage", full_refresh)
+
+    for _ in range(3):
+        run(build)
+    merged = materialise(read_table(spark, f"{root}/table"), f"{name}-merged")
+    run(lambda _: everything, full_refresh=True)
+    both = merged.withColumn("refreshed", F.lit(0)).unionByName(read_table(spark, f"{root}/table").withColumn("refreshed", F.lit(1)))
+    return both.drop("part")
+
+
+@entry_point
+def game_revenue_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Game revenue merged on the transaction, by day."""
+    rows = warehouse.transactions(spark, folder)
+    known = rows.filter(F.col("created_at") < F.lit(EVENTS_AS_OF).cast("timestamp"))
+
+    def build(loaded: DataFrame | None) -> DataFrame:
+        return facts.fact_game_revenue(known if loaded is None else incremental.since_lookback(rows, "created_at", 2, EVENTS_AS_OF))
+
+    day = F.floor(F.col("sk_date_time") / 100).cast("int")
+    return _stored_model(spark, "game-revenue", build, facts.fact_game_revenue(rows), ["transaction_id"], day)
+
+
+@entry_point
+def fact_gameround_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed rounds merged on round and country, by month of ingestion; later runs read above the stored high-water mark."""
+    latest = materialise(rounds(spark, folder), "rounds")
+    known = latest.filter(F.col("updated_at") < F.lit(SPLIT).cast("timestamp"))
+
+    def build(loaded: DataFrame | None) -> DataFrame:
+        return facts.fact_gameround(known) if loaded is None else facts.fact_gameround(latest, loaded, inclusive=True)
+
+    month = F.floor(F.col("sk_date_time") / 10000).cast("int")
+    return _stored_model(spark, "gamerounds", build, facts.fact_gameround(latest), ROUND_KEYS, month)
+
+
 @entry_point
 def mart_hourly(spark: SparkSession, folder: str) -> DataFrame:
     return marts.mart_gameround_hourly(rounds_fact(spark, folder))
@@ -292,8 +330,7 @@ def mart_hourly_increment(spark: SparkSession, folder: str) -> DataFrame:
     fact = materialise(rounds_fact(spark, folder), "rounds")
     earlier = marts.mart_gameround_hourly(fact.filter(F.col("created_at") < F.lit(ORDERS_AS_OF).cast("timestamp")))
     late = marts.mart_gameround_hourly(fact, incremental=True, as_of=ORDERS_AS_OF)
-    return merge.keyed_merge(earlier, late, marts.HOURLY_GRAIN).select(
-        *marts.HOURLY_GRAIN, "rounds", "active_players", "ggr_eur")
+    return merge.keyed_merge(earlier, late, marts.HOURLY_GRAIN)
 
 
 @entry_point
@@ -492,7 +529,7 @@ def upsert_stale(spark: SparkSession, folder: str) -> DataFrame:
     """Older versions arriving late change nothing that is stored, and add what is new."""
     late, current = (materialise(part, "rounds") for part in _split_rounds(spark, folder))
     changes = materialise(merge.classify_upsert(current, late, ROUND_KEYS, "version"), "changes")
-    return merge.apply_changes(current, changes, ROUND_KEYS).select(*ROUND_KEYS, "version", "bet_amount_eur")
+    return merge.apply_changes(current, changes, ROUND_KEYS)
 
 
 @entry_point
@@ -503,9 +540,7 @@ def upsert_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @entry_point
 def keyed_merge(spark: SparkSession, folder: str) -> DataFrame:
-    target, source = _split_rounds(spark, folder)
-    columns = [*ROUND_KEYS, "version", "bet_amount_eur", "is_closed"]
-    return merge.keyed_merge(target.select(*columns), source.select(*columns), ROUND_KEYS)
+    return merge.keyed_merge(*_split_rounds(spark, folder), ROUND_KEYS)
 
 
 # --- history -------------------------------------------------------------------------------

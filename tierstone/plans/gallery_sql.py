@@ -342,6 +342,17 @@ FROM src s LEFT JOIN open_rows o ON s.tag_id = o.tag_id AND s.country_code = o.c
 WHERE o.tag_id IS NULL OR s.modified_at > o.updated_at"""
 
 
+GAME_REVENUE = f"""SELECT transaction_id, sk_date_time, {key('player_id', 'country_code')} AS sk_player,
+      {key('game_id', 'country_code')} AS sk_game, country_code, currency_code, transaction_type,
+      CAST(bet AS DOUBLE) AS bet_eur, CAST(win AS DOUBLE) AS win_eur, CAST(bet - win AS DOUBLE) AS ggr_eur, created_at
+      FROM (SELECT *,
+        CASE WHEN transaction_type IN ('BET','RESERVED_BET') THEN coalesce(amount_eur, 0)
+          WHEN transaction_type IN ('ROLLBACK_BET','ROLLBACK_RESERVED_BET','ROLLBACK_ROUND') THEN -coalesce(amount_eur, 0)
+          ELSE 0 END AS bet,
+        CASE WHEN transaction_type IN ('WIN','PAYOUT','CASHOUT') THEN coalesce(amount_eur, 0)
+          WHEN transaction_type IN ('ROLLBACK_WIN','ROLLBACK_CASHOUT') THEN -coalesce(amount_eur, 0)
+          ELSE 0 END AS win FROM game_txn)"""
+
 PAYMENT_CHECKS = """
       SELECT 'sk_payment_not_null' AS check_name, 'error' AS severity, count(*) FILTER (sk_payment IS NULL) AS failures FROM pay_fact
       UNION ALL SELECT 'amount_positive', 'error', count(*) FILTER (amount_eur <= 0) FROM pay_fact
@@ -446,11 +457,9 @@ SQL: dict[str, str] = {
     "overwrite_roundtrip": with_(TRIPS) + DAILY,
     "fact_txn_kpi": kpi_sql(),
     "fact_txn_kpi_lookback": kpi_sql(SINCE_EVENTS),
-    "fact_txn_kpi_window": with_(*kpi_ctes()) + f"""SELECT country_code,
+    "fact_txn_kpi_window": with_(*kpi_ctes()) + f"""SELECT * REPLACE (
       CASE WHEN sk_date_time >= {hour_key(f"TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 2 DAY")} THEN TIMESTAMP '{NOW}'
-        ELSE TIMESTAMP '2024-01-01' END AS last_update,
-      count(*) AS row_count, CAST(round(sum(CAST(ggr_eur AS DECIMAL(18,4))), 4) AS DOUBLE) AS ggr_eur
-      FROM kpi GROUP BY ALL""",
+        ELSE TIMESTAMP '2024-01-01' END AS last_update) FROM kpi""",
     "kpi_table": kpi_sql(),
     "net_of_reversals": with_(TXN) + f"""SELECT player_id, country_code, CAST({bets('amount_eur')} AS DOUBLE) AS bets_eur,
       CAST({wins('amount_eur')} AS DOUBLE) AS wins_eur FROM txn GROUP BY ALL""",
@@ -465,24 +474,15 @@ SQL: dict[str, str] = {
       round(CAST(sum(win_amount_eur) AS DOUBLE) / nullif(CAST(sum(bet_amount_eur) AS DOUBLE), 0), 6) AS win_rate
       FROM rounds GROUP BY ALL""",
     "fact_payments": with_(PAY_FACT) + "SELECT * FROM pay_fact",
-    "fact_payments_lookback": with_(PAY_FACT) + f"""SELECT sk_payment, payment_id, sk_date_time, net_amount_eur, created_at
-      FROM pay_fact WHERE created_at >= TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 30 DAY""",
+    "fact_payments_lookback": with_(PAY_FACT) + f"""SELECT * FROM pay_fact WHERE created_at >= TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 30 DAY""",
     "fact_gameround": with_(ROUND_FACT) + f"""SELECT * REPLACE ({AS_DOUBLE}, CAST(ggr_eur AS DOUBLE) AS ggr_eur) FROM round_fact""",
-    "fact_gameround_increment": with_(ROUND_FACT) + f"""SELECT country_code, is_promotional, count(*) AS rounds,
-      CAST(round(sum(ggr_eur), 4) AS DOUBLE) AS ggr_eur FROM round_fact
+    "fact_gameround_increment": with_(ROUND_FACT) + f"""SELECT * REPLACE ({AS_DOUBLE}, CAST(ggr_eur AS DOUBLE) AS ggr_eur) FROM round_fact
       WHERE updated_at < TIMESTAMP '{SPLIT}'
-        OR updated_at > (SELECT max(updated_at) FROM round_fact WHERE updated_at < TIMESTAMP '{SPLIT}')
-      GROUP BY ALL""",
-    "fact_game_revenue": with_(TXN) + f"""SELECT transaction_id, sk_date_time, {key('player_id', 'country_code')} AS sk_player,
-      {key('game_id', 'country_code')} AS sk_game, country_code, currency_code, transaction_type,
-      CAST(bet AS DOUBLE) AS bet_eur, CAST(win AS DOUBLE) AS win_eur, CAST(bet - win AS DOUBLE) AS ggr_eur, created_at
-      FROM (SELECT *,
-        CASE WHEN transaction_type IN ('BET','RESERVED_BET') THEN coalesce(amount_eur, 0)
-          WHEN transaction_type IN ('ROLLBACK_BET','ROLLBACK_RESERVED_BET','ROLLBACK_ROUND') THEN -coalesce(amount_eur, 0)
-          ELSE 0 END AS bet,
-        CASE WHEN transaction_type IN ('WIN','PAYOUT','CASHOUT') THEN coalesce(amount_eur, 0)
-          WHEN transaction_type IN ('ROLLBACK_WIN','ROLLBACK_CASHOUT') THEN -coalesce(amount_eur, 0)
-          ELSE 0 END AS win FROM game_txn)""",
+        OR updated_at > (SELECT max(updated_at) FROM round_fact WHERE updated_at < TIMESTAMP '{SPLIT}')""",
+    "fact_gameround_table": with_(ROUND_FACT) + f"""SELECT * REPLACE ({AS_DOUBLE}, CAST(ggr_eur AS DOUBLE) AS ggr_eur)
+      FROM round_fact CROSS JOIN (SELECT unnest([0, 1]) AS refreshed)""",
+    "fact_game_revenue": with_(TXN) + GAME_REVENUE,
+    "game_revenue_table": with_(TXN) + f"SELECT * FROM ({GAME_REVENUE}) CROSS JOIN (SELECT unnest([0, 1]) AS refreshed)",
     "mart_hourly": with_(ROUND_FACT) + f"SELECT * EXCLUDE (revenue_per_player) FROM ({mart()})",
     "active_players_rollup": with_(ROUND_FACT) + """SELECT CAST(sk_date_time // 10000 AS INTEGER) AS month, country_code,
       count(round_id) AS rounds, CAST(round(sum(bet_amount_eur), 4) AS DOUBLE) AS bet_eur,
@@ -494,7 +494,7 @@ SQL: dict[str, str] = {
     "mart_hourly_increment": with_(
         ROUND_FACT, f"earlier AS ({mart(where=f'''created_at < TIMESTAMP '{ORDERS_AS_OF}' ''')})",
         f"late AS ({mart(where='sk_date_time >= 2001053000')})") + """
-      SELECT sk_date_time, sk_game, country_code, rounds, active_players, ggr_eur FROM (
+      SELECT * EXCLUDE (revenue_per_player) FROM (
         SELECT * FROM earlier e WHERE NOT EXISTS (SELECT 1 FROM late l WHERE l.sk_date_time = e.sk_date_time
           AND l.sk_game = e.sk_game AND l.country_code = e.country_code)
         UNION ALL SELECT * FROM late)""",
@@ -529,15 +529,14 @@ SQL: dict[str, str] = {
       TIMESTAMP '{NOW}' AS last_update FROM rounds_log""",
     "dedup_latest": with_(ROUNDS) + f"SELECT {ROUND_COLUMNS} FROM rounds",
     "upsert_versioned": with_(ROUNDS) + f"SELECT {ROUND_COLUMNS} FROM rounds",
-    "upsert_stale": with_(SPLIT_ROUNDS) + """SELECT round_id, country_code, version, CAST(bet_amount_eur AS DOUBLE) AS bet_amount_eur FROM (
+    "upsert_stale": with_(SPLIT_ROUNDS) + f"""SELECT {ROUND_COLUMNS} FROM (
         SELECT * FROM after_split UNION ALL
         SELECT * FROM before_split b WHERE NOT EXISTS (SELECT 1 FROM after_split a
           WHERE a.round_id = b.round_id AND a.country_code = b.country_code))""",
     "upsert_counts": with_(SPLIT_ROUNDS) + """SELECT count(*) FILTER (b.round_id IS NULL) AS inserted,
       count(*) FILTER (a.version > b.version) AS updated, count(*) FILTER (a.version <= b.version) AS unchanged
       FROM after_split a LEFT JOIN before_split b ON a.round_id = b.round_id AND a.country_code = b.country_code""",
-    "keyed_merge": with_(SPLIT_ROUNDS) + """SELECT round_id, country_code, version, CAST(bet_amount_eur AS DOUBLE) AS bet_amount_eur, is_closed
-      FROM (SELECT * FROM after_split UNION ALL
+    "keyed_merge": with_(SPLIT_ROUNDS) + f"""SELECT {ROUND_COLUMNS} FROM (SELECT * FROM after_split UNION ALL
         SELECT * FROM before_split b WHERE NOT EXISTS (SELECT 1 FROM after_split a
           WHERE a.round_id = b.round_id AND a.country_code = b.country_code))""",
     "scd2_history": with_(TAG_HISTORY) + "SELECT * FROM tag_history",

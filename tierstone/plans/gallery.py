@@ -18,7 +18,7 @@ from tierstone.functions import kpi
 from tierstone.functions.keys import surrogate_key
 from tierstone.functions.text import clean_str, truncated
 from tierstone.functions.times import VIENNA, hour_key, iso_utc, minutes_between
-from tierstone.operators import history, incremental, merge, outbox, quality, timeline, touched
+from tierstone.operators import history, incremental, merge, outbox, overlaps, quality, timeline, touched
 from tierstone.operators.enforce import RESCUED, enforce_schema, latest_per_key, stamp
 from tierstone.operators.history_table import HistoryTable
 from tierstone.plans import dimensions, facts, marts, trips
@@ -619,6 +619,17 @@ def classification_at(spark: SparkSession, folder: str) -> DataFrame:
                                     "tag_category", labels)
 
 
+@entry_point
+def rows_in_force(spark: SparkSession, folder: str) -> DataFrame:
+    """Each purchase with all classifications and limits in force at that moment, a row for each."""
+    spans = history.build_history(warehouse.classifications_log(spark, folder), TAG_KEYS, "modified_at").filter(F.col("is_active") == 1)
+    limits = history.build_history(warehouse.limits_log(spark, folder), LIMIT_KEYS, "modified_at")
+    every = spans.select(*PLAYER_KEYS, F.col("tag_category").alias("in_force"), "valid_from", "valid_to").unionByName(
+        limits.select(*PLAYER_KEYS, F.lit("LIMIT").alias("in_force"), "valid_from", "valid_to"))
+    return overlaps.rows_in_force(warehouse.purchases(spark, folder), materialise(every, "intervals"), PLAYER_KEYS, "happened_at",
+                                  ["in_force", "valid_from"])
+
+
 # --- incremental filters ---------------------------------------------------------------------
 
 

@@ -324,6 +324,15 @@ PURCHASES = f"""purchases AS (
     ts AS happened_at, value AS amount FROM events WHERE event_type = 'purchase')"""
 
 
+CLASS_SPANS = ",\n".join([PURCHASES, f"""class_log AS (
+      SELECT user_id || '-' || n AS tag_id, CAST(user_id AS VARCHAR) AS player_id, {country('user_id')} AS country_code,
+        'CLASS_' || n AS tag_category, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS is_active, ts AS modified_at
+      FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 AS n FROM events)
+      WHERE event_type IN ('click', 'view'))""",
+        versions("spans", "class_log", "tag_id, country_code", "modified_at", "is_active DESC",
+                 "tag_id, player_id, country_code, tag_category, is_active")])
+
+
 def snapshot(source_where: str) -> str:
     """Rules of one snapshot run written out per case."""
     return with_(TAGS, versions("stored", "tags_log", "tag_id, country_code", "modified_at", "is_active DESC",
@@ -550,6 +559,11 @@ SQL: dict[str, str] = {
     "point_in_time_join": with_(PURCHASES, LIMIT_HISTORY) + """SELECT p.*, h.limit_value, h.valid_from
       FROM purchases p LEFT JOIN limit_history h ON h.player_id = p.player_id AND h.country_code = p.country_code
         AND h.valid_from <= p.happened_at AND p.happened_at < h.valid_to""",
+    "rows_in_force": with_(LIMIT_HISTORY, CLASS_SPANS) + """
+      SELECT p.*, i.in_force, i.valid_from FROM purchases p JOIN (
+        SELECT player_id, country_code, tag_category AS in_force, valid_from, valid_to FROM spans WHERE is_active = 1
+        UNION ALL SELECT player_id, country_code, 'LIMIT', valid_from, valid_to FROM limit_history
+      ) i ON i.player_id = p.player_id AND i.country_code = p.country_code AND i.valid_from <= p.happened_at AND p.happened_at < i.valid_to""",
     "classification_at": with_(PURCHASES, f"""class_log AS (
       SELECT user_id || '-' || n AS tag_id, CAST(user_id AS VARCHAR) AS player_id, {country('user_id')} AS country_code,
         'CLASS_' || n AS tag_category, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS is_active, ts AS modified_at

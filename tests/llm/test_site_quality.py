@@ -1,6 +1,8 @@
+import math
 import random
 
 import frames
+import pytest
 from pyspark.sql import functions as F
 
 from tierstone.llm import site_quality as Q
@@ -44,3 +46,33 @@ def test_odd_rows(spark):
     some = spark.createDataFrame([(5, 1), (5, 0), (8, 0), (None, 1), (9, None)], "doc_id bigint, quality int")
     assert all(0 <= r["score"] <= 1 for r in Q.classify(docs, some, F.col("source"), F.col("lang")).collect())
     assert Q.classify(docs.limit(0), none, F.col("source"), F.col("lang")).collect() == []
+
+
+def plain_strength(groups):
+    """Mean and prior weight of groups given as (n, s), by the method of moments."""
+    n, s = sum(g[0] for g in groups), sum(g[1] for g in groups)
+    mean = s / n
+    within = mean * (1 - mean)
+    spread = (sum(b * b / a for a, b in groups) - n * mean**2 - (len(groups) - 1) * within) / max(n - sum(a * a for a, _ in groups) / n, 1e-9)
+    return mean, max(1.0, within / max(spread, 1e-6) - 1)
+
+
+def test_posteriors_equal_a_plain_computation(spark):
+    rows, docs, labels, truth = tables(spark)
+    found = {r["doc_id"]: r for r in Q.classify(docs, labels, F.col("source"), F.col("lang")).collect()}
+    own = {i: float(truth[i]) if i in truth and not r["held_out"] else r["doc_score"] for i, r in found.items()}
+    hosts, paths = {}, {}
+    for i, _, host, path in rows:
+        for groups, key in ((hosts, host), (paths, (host, path))):
+            n, s = groups.get(key, (0, 0.0))
+            groups[key] = n + 1, s + own[i]
+    mean, host_weight = plain_strength(list(hosts.values()))
+    _, path_weight = plain_strength(list(paths.values()))
+    logit = lambda p: math.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+    for i, _, host, path in rows:
+        n, s = hosts[host]
+        host_score = (s - own[i] + host_weight * mean) / (n - 1 + host_weight)
+        n, s = paths[host, path]
+        path_score = (s - own[i] + path_weight * host_score) / (n - 1 + path_weight)
+        score = 1 / (1 + math.exp(-(logit(found[i]["doc_score"]) + logit(path_score) - logit(mean))))
+        assert [found[i][c] for c in ("host_score", "path_score", "score")] == pytest.approx([host_score, path_score, score], abs=1e-9)

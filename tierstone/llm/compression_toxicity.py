@@ -1,12 +1,13 @@
 """Toxicity by compression distance to two zstandard dictionaries.
 
 Both dictionaries are trained by zstandard. The ordinary one learns from pieces of ordinary
-documents. The toxic one learns from windows of toxic documents that hold a word typical of
-them: the word with its neighbours, and the word three times. Typical are words that follow
-at least ``MIN_CONTEXTS`` different words there and are ``MIN_LIFT`` times as frequent as in
-ordinary text (different contexts, so that copies of a document do not make its words
-typical). Trained on whole documents, the toxic dictionary would spend its bytes on the
-common language and separate little.
+documents. The toxic one learns from windows of toxic documents, each a word typical of them
+written three times; windows that its training leaves out are put in front of what it chose.
+Typical are words that follow at least ``MIN_CONTEXTS`` different words there, or one for
+every ``DOCS_A_CONTEXT`` documents of a larger sample, and are ``MIN_LIFT`` times as frequent
+as in ordinary text (different contexts, so that copies of a document do not make its words
+typical). Trained on whole documents, or on words with their neighbours, the toxic dictionary
+would spend its bytes on the common language and separate worse.
 
 A window that is scored is one word written three times, so that its own repetition is cheap
 and its first occurrence is what is priced. Its gain is how much shorter it becomes when the
@@ -43,10 +44,10 @@ SAMPLE = {"toxic": 1500, "ordinary": 6000, "calibration": 4000}
 SAMPLE_BYTES = 32 << 20
 DICTIONARY_BYTES = 1 << 16
 # The toxic dictionary has so many bytes for each byte of the typical words, within bounds.
-BYTES_FOR_TYPICAL, LEAST_BYTES = 16, 1024
+BYTES_FOR_TYPICAL, LEAST_BYTES = 8, 1024
 LEVEL = 16
 TIMES = 3
-MIN_CONTEXTS = 4
+MIN_CONTEXTS, DOCS_A_CONTEXT = 4, 130
 MIN_LIFT = 20.0
 CACHE_WORDS = 1_000_000
 CUT_OFF = 0.3
@@ -120,7 +121,8 @@ def typical_windows(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
         words = words_of(text)
         pairs.update(zip([b"", *words], words))
     there = Counter(word for _, word in pairs)
-    candidates = {w for w, n in there.items() if n >= MIN_CONTEXTS}
+    least = max(MIN_CONTEXTS, len(toxic) // DOCS_A_CONTEXT)
+    candidates = {w for w, n in there.items() if n >= least}
     n_there, n_here, others = len(pairs), 0, set()
     for text in ordinary:
         words = words_of(text)
@@ -147,18 +149,23 @@ def ordinary_dictionary(texts: list[bytes]) -> bytes:
     return _trained(samples, DICTIONARY_BYTES)
 
 
-def toxic_dictionary(texts: list[bytes], typical: list[bytes]) -> bytes:
-    """Trained on the windows around typical words, each once for a document."""
+def toxic_dictionary(texts: list[bytes], typical: list[bytes], ordinary: bytes) -> bytes:
+    """Trained on the windows of typical words, one for each context they have in a document."""
     wanted, samples = set(typical), []
     for text in texts:
         words, seen = words_of(text), set()
         for k, word in enumerate(words):
-            window = tuple(words[max(0, k - 1) : k + 2])
-            if word in wanted and window not in seen:
-                seen.add(window)
-                samples += [b" " + b" ".join(window), (b" " + word) * TIMES]
+            context = tuple(words[max(0, k - 1) : k + 2])
+            if word in wanted and context not in seen:
+                seen.add(context)
+                samples.append((b" " + word) * TIMES)
+    if not samples:
+        return b""
     size = BYTES_FOR_TYPICAL * sum(len(word) + 1 for word in typical)
-    return _trained(samples, min(DICTIONARY_BYTES, max(LEAST_BYTES, size))) if samples else b""
+    trained = _trained(samples, min(DICTIONARY_BYTES, max(LEAST_BYTES, size)))
+    model = Distance(ordinary, trained)
+    left_out = [(b" " + word) * TIMES for word in typical if model.features(word)[0] <= 1]
+    return b"".join(left_out) + trained
 
 
 def logistic(features: np.ndarray, labels: np.ndarray, penalty: float = 0.1, steps: int = 50) -> list[float]:
@@ -179,7 +186,8 @@ def fitted(parts: dict[str, list[tuple[bytes, int]]]) -> Distance:
     toxic, ordinary = ([text for text, _ in parts[name]] for name in ("toxic", "ordinary"))
     if not toxic or not ordinary:
         return Distance(b"", b"")
-    model = Distance(ordinary_dictionary(ordinary), toxic_dictionary(toxic, typical_windows(toxic, ordinary)))
+    book = ordinary_dictionary(ordinary)
+    model = Distance(book, toxic_dictionary(toxic, typical_windows(toxic, ordinary), book))
     if unseen := parts["calibration"]:
         features = np.array([model.features(text) for text, _ in unseen])
         model.weights = logistic(features, np.array([mark for _, mark in unseen], float))

@@ -86,7 +86,7 @@ class HistoryTable:
         after.filter(~is_current()).write.mode("overwrite").parquet(f"{self.path}/closed/{RUN}={number}")
         kept = stored.join(keys, self.keys, "left_anti").select(*self.schema.fieldNames())
         opened = kept.unionByName(current_rows(after)).withColumn(BUCKET, heads.bucket_of(self.keys, self.buckets))
-        heads.write_buckets(opened, self.open_folder, number)
+        heads.write_buckets(opened.hint("rebalance", BUCKET), self.open_folder, number)
         filled = {int(r[0]) for r in opened.select(BUCKET).distinct().collect()}
         generations = {b: g for b, g in head.generations.items() if b not in buckets} | dict.fromkeys(sorted(filled), number)
         heads.publish(self.spark, self.path, Head(number, generations, {"runs": [*head.notes.get("runs", []), number]}))

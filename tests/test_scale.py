@@ -1,6 +1,10 @@
-"""Sizes of tasks: how scans are split."""
+"""Sizes of tasks: how scans are split, how landings are written, how wide sorted rows are."""
+
+from pyspark.sql import functions as F
 
 from tierstone import session
+from tierstone.plans import gallery
+from tierstone.sources.tables import file_paths
 
 LIMIT = "spark.sql.files.maxPartitionBytes"
 
@@ -13,3 +17,15 @@ def test_scans_are_split_finely_but_a_smaller_limit_stays(spark):
     session.prepare(spark)
     assert spark.conf.get(LIMIT) == "1m"
     spark.conf.unset(LIMIT)
+
+
+def test_a_landing_of_one_file_is_read_by_many_tasks(spark):
+    streams = gallery.RoundStreams(spark, "unused")
+    rows = spark.range(0, 400, 1, 8).select(
+        "id", F.expr("spark_partition_id()").alias("task"), F.when(F.col("id") % 2 == 0, "de").otherwise("at").alias("country_code"))
+    streams.land(rows, one_file=True)
+    folder = f"{streams.root}/landing/{streams.table}"
+    found = file_paths(spark, folder, ".parquet")
+    assert [sum(f"country_code={c}/" in f for f in found) for c in ("de", "at", "dk")] == [1, 1, 0]
+    stored = spark.read.parquet(folder)
+    assert stored.count() == 400 and stored.select("task").distinct().count() == 8

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierstone.contracts import COUNTRIES, contract
+from tierstone.contracts import COUNTRIES, TENANT, contract
 from tierstone.functions import kpi
 from tierstone.functions.keys import surrogate_key
 from tierstone.functions.text import clean_str, truncated
@@ -884,9 +884,18 @@ class RoundStreams:
         self.log_path = f"{self.root}/silver-log/{self.table}"
         self.buckets = 4
 
-    def land(self, rows: DataFrame) -> None:
-        """New files per country; the country is part of the folder, not of the rows."""
-        rows.write.mode("append").partitionBy("country_code").parquet(f"{self.root}/landing/{self.table}")
+    def land(self, rows: DataFrame, one_file: bool = False) -> None:
+        """New files per country; the country is part of the folder, not of the rows.
+
+        Each country is written by itself, so no task sorts its rows by country first. With
+        ``one_file`` all tasks read, and one task for each country writes.
+        """
+        def write(country: str) -> None:
+            own = rows.filter(F.col(TENANT) == country).drop(TENANT)
+            if not own.isEmpty():
+                (own.repartition(1) if one_file else own).write.mode("append").parquet(f"{self.root}/landing/{self.table}/{TENANT}={country}")
+
+        self.for_each_country(write)
 
     def _checkpoint(self, layer: str, country: str) -> str:
         return f"{self.root}/checkpoints/{layer}/{country}/{self.table}"
@@ -1005,7 +1014,7 @@ def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
     streams = RoundStreams(spark, folder)
     rows = []
     for number, drop in enumerate(_drops(spark, folder), start=1):
-        streams.land(drop.coalesce(1))
+        streams.land(drop, one_file=True)
         loaded = streams.for_each_country(streams.ingest)
         merged = streams.for_each_country(streams.merge)
         rows += [(number, c, loaded[c].files, loaded[c].rows, merged[c].inserted, merged[c].updated, merged[c].unchanged)

@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from tierstone import session
+from tierstone.operators import outbox
 from tierstone.plans import gallery
+from tierstone.sources import warehouse
 from tierstone.sources.tables import file_paths
 
 LIMIT = "spark.sql.files.maxPartitionBytes"
@@ -29,3 +31,14 @@ def test_a_landing_of_one_file_is_read_by_many_tasks(spark):
     assert [sum(f"country_code={c}/" in f for f in found) for c in ("de", "at", "dk")] == [1, 1, 0]
     stored = spark.read.parquet(folder)
     assert stored.count() == 400 and stored.select("task").distinct().count() == 8
+
+
+def test_error_texts_are_cut_before_they_are_sorted(spark, monkeypatch):
+    def attempts(spark, folder):
+        return spark.createDataFrame(
+            [(1, "u", "de", 404, "x" * 5000, "2024-01-01"), (2, "u", "de", 404, "y" * 5000, "2024-01-02")],
+            "event_id long, online_customer_id string, country_code string, status int, body string, attempted_at string")
+
+    monkeypatch.setattr(warehouse, "attempts", attempts)
+    results = gallery.delivery_results(spark, "unused")
+    assert [r.error for r in results.collect()] == ["y" * outbox.ERROR_LENGTH]

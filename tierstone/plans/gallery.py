@@ -732,8 +732,13 @@ def outbox_classify(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def delivery_results(spark: SparkSession, folder: str) -> DataFrame:
-    """Last attempt per outbox row, as ok and error text."""
-    last = latest_per_key(warehouse.attempts(spark, folder), list(outbox.OUTBOX_KEYS), "attempted_at", ["event_id"])
+    """Last attempt per outbox row, as ok and error text.
+
+    Texts are cut to what the outbox keeps, and columns left out, before rows are sorted.
+    """
+    tried = warehouse.attempts(spark, folder).select(
+        *outbox.OUTBOX_KEYS, "attempted_at", "event_id", "status", truncated("body", outbox.ERROR_LENGTH).alias("body"))
+    last = latest_per_key(tried, list(outbox.OUTBOX_KEYS), "attempted_at", ["event_id"])
     return last.select(*outbox.OUTBOX_KEYS, (F.col("status") == outbox.STATUS_OK).alias("ok"),
                        F.col("body").alias("error"))
 

@@ -101,3 +101,32 @@ def test_empty_and_untrained(spark):
     assert G.score(frames.docs(spark, [])).collect() == []
     found = G.score(frames.docs(spark, [(None, "a b")])).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"]) for r in found] == [(3, 0, 0)]
+
+
+def test_documents_are_scored_in_chunks_however_they_are_batched(monkeypatch):
+    import pyarrow as pa
+
+    net = G.Network(8)
+    docs = [np.arange(n % 5 + 1, dtype=np.int16) for n in range(30)]
+    kinds = {"doc_id": pa.int64(), "held_out": pa.bool_(), "key": pa.int64(), "n_tokens": pa.int64(), "n_known": pa.int64(),
+             "base_log": pa.float64(), "inside_log": pa.float64()}
+
+    def batch(some):
+        columns = {name: pa.nulls(len(some), kind) for name, kind in kinds.items()}
+        return pa.RecordBatch.from_pydict(columns | {"doc_id": pa.array(some, pa.int64()), "ids": pa.array([docs[k].tobytes() for k in some], pa.binary())})
+
+    class Shared:
+        value = net
+
+    calls, plain = [], G.score_docs
+    monkeypatch.setattr(G, "score_docs", lambda net, docs: calls.append(len(docs)) or plain(net, docs))
+    batches = [batch(range(k, min(k + 7, 30))) for k in range(0, 30, 7)] + [batch([])]
+    found = [r for b in G._scored(Shared)(iter(batches)) for r in b.to_pylist()]
+    assert calls == [30]
+    assert [r["doc_id"] for r in found] == list(range(30)) and list(found[0]) == G.SCORED
+    np.testing.assert_allclose([r["model_log"] for r in found], plain(net, docs), rtol=1e-5)
+    monkeypatch.setattr(G, "CHUNK_TOKENS", 20)
+    calls.clear()
+    again = [r["model_log"] for b in G._scored(Shared)(iter(batches)) for r in b.to_pylist()]
+    assert sum(calls) == 30 and len(calls) > 1
+    np.testing.assert_allclose(again, [r["model_log"] for r in found], rtol=1e-5)

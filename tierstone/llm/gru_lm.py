@@ -25,6 +25,7 @@ import zlib
 from collections import Counter
 from copy import deepcopy
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -137,10 +138,11 @@ class Network:
         kinds = self.classes(ids)
         logits = states @ self.out_class
         logits += self.class_bias
-        share = np.exp(logits)
-        total = share @ np.ones((share.shape[1], 1), np.float32)
         rows = np.arange(len(ids))
-        found = logits[rows, kinds] - np.log(total[:, 0])
+        found = logits[rows, kinds]
+        share = np.exp(logits, out=logits)
+        total = share @ np.ones((share.shape[1], 1), np.float32)
+        found -= np.log(total[:, 0])
         grads = {}
         if learn:
             share /= total
@@ -148,37 +150,52 @@ class Network:
             grads["out_class"], grads["class_bias"] = states.T @ share, share.sum(0)
             back = share @ self.out_class.T
             grads["out_word"], grads["word_bias"] = np.zeros_like(self.out_word), np.zeros_like(self.word_bias)
+        # All steps by class, so that those of a class are one block; put back at the end.
         order = np.argsort(kinds.astype(np.int16), kind="stable")  # 16 bits are sorted by radix
-        bounds = np.searchsorted(kinds[order], np.arange(CLASSES + 1))
+        states, ids, inside = states[order], ids[order], np.zeros_like(found)
+        into = np.zeros_like(states) if learn else None
+        bounds = np.searchsorted(kinds[order], np.arange(CLASSES + 1)).tolist()
+        ones = np.ones((self.per_class, 1), np.float32)
         for c in range(CLASSES):
-            part = order[bounds[c] : bounds[c + 1]]
-            if not len(part):
+            part = slice(bounds[c], bounds[c + 1])
+            if part.start == part.stop:
                 continue
             span = slice(c * self.per_class, (c + 1) * self.per_class)
             weights, mine = self.out_word[span], states[part]
             logits = mine @ weights.T
             logits += self.word_bias[span]
-            share = np.exp(logits)
-            total = share @ np.ones((share.shape[1], 1), np.float32)
-            at = np.arange(len(part)), ids[part] - span.start
-            found[part] += logits[at] - np.log(total[:, 0])
+            at = rows[: len(mine)], ids[part] - span.start
+            own = logits[at]
+            share = np.exp(logits, out=logits)
+            total = share @ ones
+            own -= np.log(total[:, 0])
+            inside[part] = own
             if learn:
                 share /= total
                 share[at] -= 1
                 grads["out_word"][span], grads["word_bias"][span] = share.T @ mine, share.sum(0)
-                back[part] += share @ weights
-        return (found, grads, back) if learn else found
+                np.matmul(share, weights, out=into[part])
+        found[order] += inside
+        if not learn:
+            return found
+        back[order] += into
+        return found, grads, back
 
     def learn(self, ids: np.ndarray, fresh: np.ndarray, state: np.ndarray, rate: float) -> np.ndarray:
         """One window of truncated backpropagation; returns the state after it."""
         valid = ids >= 0
-        ids = np.where(valid, ids, 0)
+        full = valid.all()  # most windows; they need no masks
+        ids = ids if full else np.where(valid, ids, 0)
         before, after, (r, z, new, inner) = self.read(ids, fresh, state)
         n, starts = HIDDEN, fresh.any(1)
-        _, grads, back = self.predict(before[valid], ids[valid], True)
-        error = np.zeros_like(before)
-        error[valid] = back
-        keep = (1 - z) * valid[..., None]
+        used = ids.ravel() if full else ids[valid]
+        _, grads, back = self.predict(before.reshape(-1, n) if full else before[valid], used, True)
+        if full:
+            error, keep = back.reshape(before.shape), 1 - z
+        else:
+            error = np.zeros_like(before)
+            error[valid] = back
+            keep = (1 - z) * valid[..., None]
         to_new, to_z, to_r = keep * (1 - new * new), (before - new) * z * keep, inner * r * (1 - r)
         inputs, pre = (np.empty((*ids.shape, 3 * n), np.float32) for _ in range(2))
         flow, back_gate = np.zeros_like(state), self.gate.T.copy()
@@ -195,12 +212,11 @@ class Network:
             if starts[t]:
                 flow[fresh[t]] = 0
         gate = before.reshape(-1, n).T @ pre.reshape(-1, 3 * n)
-        used = ids[valid]
         order = np.argsort(used.astype(np.int16), kind="stable")
         used = used[order]
         firsts = np.flatnonzero(np.r_[True, used[1:] != used[:-1]])
         self._step("gate", gate, rate)
-        self._step("word", np.add.reduceat(inputs[valid][order], firsts), rate, used[firsts])
+        self._step("word", np.add.reduceat((inputs.reshape(-1, 3 * n) if full else inputs[valid])[order], firsts), rate, used[firsts])
         for name, grad in grads.items():
             self._step(name, grad, rate)
         return after
@@ -274,7 +290,7 @@ class Vocabulary:
         """Ids, known places (-1 where unknown) and the unknown words of a text."""
         words = words_of(text)
         get = self.known.get
-        places = np.array([get(w, -1) for w in words], np.int32)
+        places = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
         ids = self.ids[places] if len(self.ids) else np.zeros(len(words), np.int16)
         unknown = np.flatnonzero(places < 0).tolist()
         rare = [words[k] for k in unknown]
@@ -362,6 +378,14 @@ def warm_start(train_docs: DataFrame, vocab: Vocabulary) -> Network:
     return net
 
 
+def _lists(rares: list[Counter]) -> pa.Array:
+    """The unknown words of each document with their numbers, as ``FOUND`` has them."""
+    ends = np.cumsum([0] + [len(rare) for rare in rares])
+    words = pa.array([w for rare in rares for w in rare], pa.binary()).cast(pa.string())
+    times = pa.array([n for rare in rares for n in rare.values()], pa.int64())
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([words, times], ["word", "times"]))
+
+
 def _weights_row(tokens: int, weights: np.ndarray) -> dict:
     return {"tokens": pa.array([tokens], pa.int64()), "weights": pa.array([weights.tobytes()], pa.binary())}
 
@@ -383,14 +407,14 @@ def _read_once(shared):
                 ids, places, rare = vocab.encode(text.as_py() or b"")
                 known = places[places >= 0]
                 inside = logs[known[known >= vocab.head]].sum() - rare_logs[ids[ids >= vocab.head] - vocab.head].sum()
-                found.append((len(ids), len(known), float(logs[known].sum()), float(inside), ids.tobytes(),
-                              [{"word": w.decode(), "times": n} for w, n in Counter(rare).items()]))
+                found.append((len(ids), len(known), float(logs[known].sum()), float(inside), ids.tobytes(), Counter(rare)))
                 if teaches and vocab.head:
                     learn.append(ids)
                     held += len(ids)
-            columns = zip(*found) if found else [()] * len(FOUND)
+            columns = dict(zip(FOUND, zip(*found) if found else [()] * len(FOUND)))
+            rares = columns.pop("rare")
             out = {name: batch.column(name) for name in ("doc_id", "held_out", "key")}
-            out |= {name: pa.array(column, kind) for (name, kind), column in zip(FOUND.items(), columns)}
+            out |= {name: pa.array(column, FOUND[name]) for name, column in columns.items()} | {"rare": _lists(rares)}
             out |= {"tokens": pa.nulls(len(found), pa.int64()), "weights": pa.nulls(len(found), pa.binary())}
             yield pa.RecordBatch.from_pydict(out)
             if held >= CHUNK_TOKENS:
@@ -419,13 +443,31 @@ def _averaged(net: Network, copies: DataFrame) -> Network:
 
 
 def _scored(shared):
+    """Scores documents in chunks of ``CHUNK_TOKENS``, however they are batched.
+
+    The longest document sets the number of steps of a chunk, so small chunks cost as much as large ones.
+    """
+
     def run(batches):
         net = shared.value
+        docs, kept, held = [], [], 0
+
+        def out():
+            found, at = score_docs(net, docs), 0
+            for batch in kept:
+                yield batch.append_column("model_log", pa.array(found[at : at + len(batch)], pa.float64()))
+                at += len(batch)
+
         for batch in batches:
-            docs = [np.frombuffer(b, np.int16) for b in batch.column("ids").to_pylist()]
-            out = {name: batch.column(name) for name in SCORED if name != "model_log"}
-            found = score_docs(net, docs) if docs else np.zeros(0)
-            yield pa.RecordBatch.from_pydict(out | {"model_log": pa.array(found, pa.float64())})
+            arrived = [np.frombuffer(b, np.int16) for b in batch.column("ids").to_pylist()]
+            docs += arrived
+            held += sum(map(len, arrived))
+            kept.append(batch.select([name for name in SCORED if name != "model_log"]))
+            if held >= CHUNK_TOKENS:
+                yield from out()
+                docs, kept, held = [], [], 0
+        if docs:
+            yield from out()
 
     return run
 

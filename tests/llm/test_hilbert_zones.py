@@ -105,3 +105,21 @@ def test_bounds_hold_and_skip_blocks(spark):
     a = rng.integers(-50, 50, (10, 6))
     smallest, largest = hz.bounds(a, low, high)
     assert (smallest <= a @ v.T).all() and (a @ v.T <= largest).all()
+
+
+def test_what_is_broadcast_does_not_grow_with_the_pairs(spark, plan_of):
+    """Files of (chunk, block) pairs are small, what a task or the driver holds of them is not."""
+    df = spark.createDataFrame(vectors(600, 8, 3), "vec_id bigint, label int, embedding array<float>")
+    index = hz.Index(hz.materialise(hz.prepared(df), "vectors"), block=8, chunk=4)
+    anchors = index.rows.where("vec_id % 5 = 0").select(F.col("vec_id").alias("anchor_id"), "label", "place", "vector")
+    queries = anchors.withColumns({"positive_id": F.col("anchor_id"), "low": F.lit(hz.LOWEST), "high": F.lit(hz.HIGHEST)})
+    plan = plan_of(index.search(queries, True, 3))
+    assert "members" not in plan and plan.count("FlatMapCoGroupsInArrow") == 1
+
+
+def test_chunks_hold_a_vector_once_for_all_queries_of_an_anchor(spark):
+    rows = [(anchor, positive, 1, 0, 9, bytes([anchor] * 8)) for anchor in (1, 2) for positive in range(5)]
+    df = spark.createDataFrame(rows, "anchor_id bigint, positive_id bigint, label int, low bigint, high bigint, vector binary").coalesce(1)
+    (chunk,) = df.sortWithinPartitions("anchor_id").mapInArrow(hz._chunks(100), hz.CHUNKS).collect()
+    vectors_, of = hz._anchors_of(chunk.asDict())
+    assert vectors_.shape == (2, 2) and of.tolist() == [0] * 5 + [1] * 5

@@ -12,8 +12,10 @@ every block that can still matter, so answers are exact.
 
 Queries are dealt in chunks of at most ``CHUNK`` along the same curve, zone maps in shelves
 of ``SHELF`` blocks. Chunks meet shelves, which have no vectors, to choose (chunk, block)
-pairs; only these meet the blocks' vectors. Tasks keep the best answers of at most ``OPEN_CHUNKS``
-chunks. Nothing is collected but one pair of numbers for each dimension.
+pairs. Then tiles are formed: about ``OPEN_CHUNKS`` chunks, and those of ``TILE`` blocks in a
+row that any of them has to read. A tile is one group of rows, so that neither its memory nor
+any broadcast grows with the number of pairs, which where vectors have no clusters is the
+number of chunks times that of blocks. Nothing is collected but one pair of numbers for each dimension.
 
 Defined cases: rows with a null id, label, vector or component, or a component that is not
 finite, take no part; an id names one row: of several with one id, the one with the
@@ -24,7 +26,6 @@ scores that tie go by id; an empty table gives no row; other columns play no par
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 from math import isqrt
 
@@ -40,6 +41,8 @@ SCALE = 256
 # Bits of each dimension that the place on the curve uses.
 CURVE_BITS = 4
 BLOCK, SHELF, CHUNK = 256, 512, 2048
+# Blocks in a row that a tile may hold.
+TILE = 128
 # Blocks that each query tries first, on each shelf.
 PROBES = 2
 OPEN_CHUNKS = 32
@@ -54,6 +57,7 @@ BLOCK_FIELDS = pa.schema([
 ])
 PAIR_FIELDS = pa.schema([("block", pa.int64()), ("chunk", pa.int64()), ("members", pa.binary())])
 ANSWERS = "anchor_id bigint, positive_id bigint, id bigint, score bigint"
+ANSWER_FIELDS = pa.schema([(c, pa.int64()) for c in ("anchor_id", "positive_id", "id", "score")])
 
 
 def curve_keys(cells: np.ndarray, bits: int = CURVE_BITS) -> np.ndarray:
@@ -198,19 +202,39 @@ def _chunks(size: int):
     def run(batches):
         for batch, number in _cut(batches, size):
             ints = lambda c, kind=np.int64: batch.column(c).to_numpy().astype(kind).tobytes()
+            vectors = batch.column("vector").filter(pa.array(_first(batch.column("anchor_id").to_numpy())))
             yield pa.RecordBatch.from_pylist([{
                 "chunk": number, "anchors": ints("anchor_id"), "positives": ints("positive_id"), "labels": ints("label", np.int32),
-                "lows": ints("low"), "highs": ints("high"), "vectors": b"".join(batch.column("vector").to_pylist())}])
+                "lows": ints("low"), "highs": ints("high"), "vectors": b"".join(vectors.to_pylist())}])
 
     return run
 
 
+def _first(anchors: np.ndarray) -> np.ndarray:
+    """Whether a query is the first of its anchor; queries of one anchor are neighbours."""
+    return np.r_[True, anchors[1:] != anchors[:-1]]
+
+
 def _anchors_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Different vectors of a chunk's queries, and which of them each query has; equal ones are neighbours."""
-    anchors = _ints(row["anchors"])
-    v = _matrix(row["vectors"], len(anchors))
-    first = np.r_[True, anchors[1:] != anchors[:-1]]
-    return v[first], np.cumsum(first) - 1
+    """Different vectors of a chunk's queries, and which of them each query has."""
+    first = _first(_ints(row["anchors"]))
+    return _matrix(row["vectors"], int(first.sum())), np.cumsum(first) - 1
+
+
+def _able(row: dict, zones: list[dict], same: bool, probes: int) -> np.ndarray:
+    """Which queries of a chunk (rows) have to read which blocks; with ``probes`` only the most promising ones."""
+    low, high = (np.stack([_ints(z[c], np.int32) for z in zones]).astype(np.int64) for c in ("low", "high"))
+    least, most = (np.array([z[c] for z in zones]) for c in ("least_label", "most_label"))
+    v, of = _anchors_of(row)
+    labels = _ints(row["labels"], np.int32)[:, None]
+    smallest, largest = (b[of] for b in bounds(v, low, high))
+    able = (least <= labels) & (labels <= most) if same else (least < labels) | (labels < most)
+    able &= (largest >= _ints(row["lows"])[:, None]) & (smallest <= _ints(row["highs"])[:, None])
+    if probes and probes < len(zones):
+        reach = np.where(able, largest, LOWEST)
+        kth = np.partition(reach, len(zones) - probes, axis=1)[:, len(zones) - probes]
+        able &= reach >= kth[:, None]
+    return able
 
 
 def _chosen(same: bool, probes: int):
@@ -219,18 +243,8 @@ def _chosen(same: bool, probes: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                zones = row["zones"]
-                low, high = (np.stack([_ints(z[c], np.int32) for z in zones]).astype(np.int64) for c in ("low", "high"))
-                least, most = (np.array([z[c] for z in zones]) for c in ("least_label", "most_label"))
-                v, of = _anchors_of(row)
-                labels = _ints(row["labels"], np.int32)[:, None]
-                smallest, largest = (b[of] for b in bounds(v, low, high))
-                able = (least <= labels) & (labels <= most) if same else (least < labels) | (labels < most)
-                able &= (largest >= _ints(row["lows"])[:, None]) & (smallest <= _ints(row["highs"])[:, None])
-                if probes and probes < len(zones):
-                    reach = np.where(able, largest, LOWEST)
-                    kth = np.partition(reach, len(zones) - probes, axis=1)[:, len(zones) - probes]
-                    able &= reach >= kth[:, None]
+                zones = row["zones"] or []
+                able = _able(row, zones, same, probes) if zones else np.zeros((0, 0), bool)
                 pairs = [
                     {"block": z["block"], "chunk": row["chunk"], "members": np.flatnonzero(able[:, i]).astype(np.int32).tobytes()}
                     for i, z in enumerate(zones) if able[:, i].any()
@@ -251,15 +265,16 @@ class Best:
         self.query, self.id, self.score = (np.zeros(0, np.int64) for _ in range(3))
         self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def read(self, row: dict, same: bool) -> None:
-        members, ids, labels = _ints(row["members"], np.int32), _ints(row["ids"]), _ints(row["block_labels"], np.int32)
+    def read(self, members: np.ndarray, block: dict, same: bool) -> None:
+        """Answers of a block to the queries with these numbers."""
+        ids, labels = _ints(block["ids"]), _ints(block["labels"], np.int32)
         wanted, place = np.unique(self.of[members], return_inverse=True)
-        scores = products(self.v[wanted], _matrix(row["block_vectors"], len(ids)))[place]
+        scores = products(self.v[wanted], _matrix(block["vectors"], len(ids)))[place]
         fits = (scores >= self.lows[members, None]) & (scores <= self.highs[members, None])
         fits &= (labels == self.labels[members, None]) == same
         fits &= ids != self.anchors[members, None]
         query, column = np.nonzero(fits)
-        self.waiting.append((members[query].astype(np.int64), ids[column], scores[query, column]))
+        self.waiting.append((members[query], ids[column], scores[query, column]))
         if sum(len(w[0]) for w in self.waiting) > 1 << 18:
             self.settle()
 
@@ -283,17 +298,17 @@ class Best:
             "anchor_id": self.anchors[self.query], "positive_id": self.positives[self.query], "id": self.id, "score": self.score})
 
 
-def _read(same: bool, k: int):
-    def run(batches):
-        open_chunks: OrderedDict[int, Best] = OrderedDict()
-        for batch in batches:
-            for row in batch.to_pylist():
-                best = open_chunks.get(row["chunk"]) or open_chunks.setdefault(row["chunk"], Best(row, k))
-                best.read(row, same)
-                if len(open_chunks) > OPEN_CHUNKS:
-                    yield open_chunks.popitem(last=False)[1].rows()
-        for best in open_chunks.values():
-            yield best.rows()
+def _read(same: bool, k: int, probes: int):
+    def run(blocks: pa.Table, chunks: pa.Table) -> pa.Table:
+        """The best answers of a tile's blocks to its chunks, one chunk after the other."""
+        found, zones = [], blocks.to_pylist()
+        for batch in chunks.to_batches(max_chunksize=1) if zones else []:
+            row = batch.to_pylist()[0]
+            able, best = _able(row, zones, same, probes), Best(row, k)
+            for i in np.flatnonzero(able.any(axis=0)):
+                best.read(np.flatnonzero(able[:, i]), zones[i], same)
+            found.append(best.rows())
+        return pa.Table.from_batches(found, ANSWER_FIELDS)
 
     return run
 
@@ -316,13 +331,18 @@ class Index:
         self.deals = max(1, min(self.blocks.select("shelf").distinct().count(), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
         self.shelves = materialise(shelves.withColumn("deal", F.pmod(F.xxhash64("shelf"), F.lit(self.deals))), "zone-shelves")
 
-    def _pass(self, chunks: DataFrame, same: bool, k: int, probes: int) -> DataFrame:
-        """The best answers of all queries in the blocks chosen for them."""
+    def _pass(self, chunks: DataFrame, groups: int, same: bool, k: int, probes: int) -> DataFrame:
+        """The best answers of all queries in the blocks chosen for them; ``groups``: chunks are dealt over as many."""
         dealt = chunks.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(self.deals - 1).cast("bigint"))))
-        pairs = dealt.join(self.shelves, "deal").mapInArrow(_chosen(same, probes), PAIRS)
+        # In an outer join only the shelves may be broadcast: Spark does not count how often a chunk is repeated.
+        pairs = dealt.join(self.shelves, "deal", "left").mapInArrow(_chosen(same, probes), PAIRS).select("block", "chunk")
+        group, tile = F.pmod(F.xxhash64("chunk"), F.lit(groups)).alias("group"), F.floor(F.col("block") / TILE).alias("tile")
         pairs = materialise(pairs, "chosen-blocks")
-        blocks = self.blocks.select("block", "ids", F.col("labels").alias("block_labels"), F.col("vectors").alias("block_vectors"))
-        found = pairs.join(blocks, "block").drop("block").join(chunks, "chunk").mapInArrow(_read(same, k), ANSWERS)
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint")))
+        blocks = self.blocks.withColumn("group", every).join(pairs.select("block", group).distinct(), ["block", "group"], "left_semi")
+        asked = pairs.select("chunk", group, tile).distinct().join(chunks, "chunk", "left")
+        side_by_side = blocks.withColumn("tile", tile).groupBy("tile", "group").cogroup(asked.groupBy("tile", "group"))
+        found = side_by_side.applyInArrow(_read(same, k, probes), ANSWERS)
         best = Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("score"), "id")
         return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
@@ -333,16 +353,16 @@ class Index:
         high of scores; ``same`` asks for vectors of the query's label, else for all others.
         """
         queries = materialise(queries, "queries")
-        query = ["anchor_id", "positive_id"]
+        query, groups = ["anchor_id", "positive_id"], -(-queries.count() // (self.chunk * OPEN_CHUNKS)) or 1
 
         def dealt(rows: DataFrame) -> DataFrame:
             ordered = rows.repartitionByRange("place", *query).sortWithinPartitions("place", *query)
             return materialise(ordered.mapInArrow(_chunks(self.chunk), CHUNKS), "query-chunks")
 
-        tried = self._pass(dealt(queries), same, k, PROBES)
+        tried = self._pass(dealt(queries), groups, same, k, PROBES)
         reached = tried.where(F.col("rank") == k).select(*query, F.col("score").alias("reached"))
         narrowed = queries.join(reached, query, "left").withColumn("low", F.greatest("low", "reached")).drop("reached")
-        return self._pass(dealt(narrowed), same, k, 0)
+        return self._pass(dealt(narrowed), groups, same, k, 0)
 
 
 def hard_negatives(

@@ -141,6 +141,35 @@ def test_interrupted_merge_is_finished_first(spark):
     assert not path_exists(spark, stage)
 
 
+def test_merged_partitions_are_moved_and_not_written_again(spark, monkeypatch):
+    root = scratch_dir(spark, "test")
+    path, stage = f"{root}/t", f"{root}/stage"
+    merge.overwrite_table(frame(spark, [("a", "de", 1, "t"), ("b", "at", 1, "t"), ("d", None, 1, "t")]), path, ["country_code"])
+    monkeypatch.setattr(merge, "replace_partitions", None)
+    move, moved = merge.move_path, []
+
+    def broken(spark, source, target):
+        if moved:
+            raise RuntimeError("lost the driver")
+        moved.append(move(spark, source, target))
+
+    rows = frame(spark, [("a", "de", 2, "s"), ("c", "dk", 1, "s"), ("e", None, 1, "s")])
+    with monkeypatch.context() as crash:  # one of three partitions is in place
+        crash.setattr(merge, "move_path", broken)
+        with pytest.raises(RuntimeError):
+            merge.merge_table(spark, path, rows, KEYS, ["country_code"], stage)
+    merge.finish_stage(spark, path, ["country_code"], stage)
+    got = sorted((r.pk, r.country_code or "", r.version, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [("a", "de", 2, "s"), ("b", "at", 1, "t"), ("c", "dk", 1, "s"), ("d", "", 1, "t"), ("e", "", 1, "s")]
+    assert not path_exists(spark, stage)
+
+
+def test_rows_that_lie_together_are_written_without_a_shuffle(spark, plan_of):
+    df = frame(spark, [("a", "de", 1, "t")])
+    assert "Exchange" in plan_of(merge._sized_for(df, ["country_code"]))
+    assert "Exchange" not in plan_of(merge._sized_for(df, ["country_code"], clustered=True))
+
+
 def test_unfinished_table_is_not_merged_into(spark):
     root = scratch_dir(spark, "test")
     rows = frame(spark, [("a", "de", 1, "t")])

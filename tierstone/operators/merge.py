@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.contracts import TableContract
-from tierstone.sources.tables import delete_path, is_complete, path_exists
+from tierstone.session import COMPRESSION
+from tierstone.sources.tables import child_names, delete_path, is_complete, move_path, path_exists
 
 ACTION = "_action"
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
@@ -95,16 +96,19 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") > 1)
 
 
-def keyed_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], check_unique: bool = False) -> DataFrame:
+def keyed_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], check_unique: bool = False,
+                partition_by: Sequence[str] = ()) -> DataFrame:
     """Last write wins: source rows replace target rows with the same key, others stay.
 
     ``check_unique`` runs a job first that rejects a source with duplicate keys; sources
-    grouped by the same keys do not need it.
+    grouped by the same keys do not need it. With ``partition_by`` the target rows that stay
+    are dealt by these columns; the source's rows are where they are.
     """
     keys = list(keys)
     if check_unique and not duplicate_keys(source.filter(_filled(keys)), keys).isEmpty():
         raise ValueError(f"merge source has several rows per key {keys}")
-    return target.join(source.select(*keys), keys, "left_anti").unionByName(source.select(*target.columns))
+    kept = target.join(source.select(*keys), keys, "left_anti")
+    return _sized_for(kept, partition_by).unionByName(source.select(*target.columns))
 
 
 def replace_window(target: DataFrame, source: DataFrame, in_window: Column) -> DataFrame:
@@ -118,34 +122,53 @@ def replace_window(target: DataFrame, source: DataFrame, in_window: Column) -> D
 # --- table-writing forms ----------------------------------------------------------
 
 
-def _sized_for(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def _sized_for(df: DataFrame, partition_by: Sequence[str], clustered: bool = False) -> DataFrame:
     """Rows of one partition together, so that each gets few files.
 
     Rebalancing leaves the sizes to adaptive execution: small partitions share a task,
-    a large one is split over several.
+    a large one is split over several. ``clustered`` rows lie together already.
     """
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    return df.hint("rebalance", *partition_by) if partition_by and not clustered else df
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full rebuild; the new schema replaces the old one."""
-    (_sized_for(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], overwrite: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", overwrite).option("compression", COMPRESSION)
         .partitionBy(*partition_by).parquet(path))
 
 
+def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), clustered: bool = False) -> None:
+    """Full rebuild; the new schema replaces the old one. ``clustered``: each task has rows of few partitions."""
+    _write(_sized_for(df, partition_by, clustered), path, partition_by, "static")
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Overwrite only the partitions ``df`` has rows for."""
-    (_sized_for(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by).parquet(path))
+    _write(_sized_for(df, partition_by), path, partition_by, "dynamic")
 
 
 def finish_stage(spark: SparkSession, path: str, partition_by: Sequence[str], stage: str) -> None:
-    """Publish a result an interrupted run left complete under ``stage``; then clear the stage."""
+    """Publish a result an interrupted run left complete under ``stage``; then clear the stage.
+
+    A result in partition folders is moved, folder by folder; what a broken run has moved is not in the stage any more.
+    """
     if is_complete(spark, f"{stage}/result"):
-        replace_partitions(spark.read.parquet(f"{stage}/result"), path, partition_by)
+        if any("=" in name for name in child_names(spark, f"{stage}/result")):
+            for folder in _leaf_folders(spark, f"{stage}/result", len(partition_by)):
+                move_path(spark, f"{stage}/result/{folder}", f"{path}/{folder}")
+            spark.catalog.refreshByPath(path)
+        elif any(name.endswith(".parquet") for name in child_names(spark, f"{stage}/result")):
+            replace_partitions(spark.read.parquet(f"{stage}/result"), path, partition_by)
     delete_path(spark, stage)
 
 
+def _leaf_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders at a depth, relative to ``path``."""
+    found = [""]
+    for _ in range(depth):
+        found = [f"{above}/{n}".lstrip("/") for above in found for n in child_names(spark, f"{path}/{above}") if "=" in n]
+    return found
+
+
 def _in_partitions(df: DataFrame, columns: Sequence[str]) -> Column:
     """Whether a row lies in a partition ``df`` has rows for.
 
@@ -177,7 +200,7 @@ def _has_table(spark: SparkSession, path: str) -> bool:
 
 
 def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-                partition_by: Sequence[str], stage: str) -> None:
+                partition_by: Sequence[str], stage: str, clustered: bool = False) -> None:
     """Keyed merge into a parquet table, rewriting only the partitions the source touches.
 
     Every partition column must be determined by the key: then a key's old row sits in
@@ -185,23 +208,24 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequenc
     small as the look-back.
 
     The source is computed once, into ``stage``, and the merged partitions are complete
-    there before the table is touched: an interrupted overwrite loses nothing, because
-    the next run publishes it first. ``stage`` belongs to the table.
+    there before the table is touched: an interrupted move loses nothing, because
+    the next run finishes it first. Both are staged by partition, so that rows are dealt
+    by it once. ``stage`` belongs to the table and lies in the same file system.
     """
     finish_stage(spark, path, partition_by, stage)
     if not _has_table(spark, path):
-        overwrite_table(source, path, partition_by)
+        overwrite_table(source, path, partition_by, clustered)
         return
-    source.write.parquet(f"{stage}/source")
+    _write(_sized_for(source, partition_by, clustered), f"{stage}/source", partition_by, "static")
     arrived = spark.read.schema(source.schema).parquet(f"{stage}/source")
     target = spark.read.schema(source.schema).parquet(path).filter(_in_partitions(arrived, partition_by))
-    keyed_merge(target, arrived, keys).write.parquet(f"{stage}/result")
+    _write(keyed_merge(target, arrived, keys, partition_by=partition_by), f"{stage}/result", partition_by, "static")
     finish_stage(spark, path, partition_by, stage)
 
 
 def load_incremental(spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame],
                      keys: Sequence[str], partition_by: Sequence[str], stage: str,
-                     full_refresh: bool = False) -> None:
+                     full_refresh: bool = False, clustered: bool = False) -> None:
     """Run an incremental model: ``build(loaded)`` merged on the keys.
 
     ``build(None)`` is the full load, used when the table is missing and on
@@ -209,9 +233,9 @@ def load_incremental(spark: SparkSession, path: str, build: Callable[[DataFrame
     """
     finish_stage(spark, path, partition_by, stage)
     if full_refresh or not _has_table(spark, path):
-        overwrite_table(build(None), path, partition_by)
+        overwrite_table(build(None), path, partition_by, clustered)
     else:
-        merge_table(spark, path, build(spark.read.parquet(path)), keys, partition_by, stage)
+        merge_table(spark, path, build(spark.read.parquet(path)), keys, partition_by, stage, clustered)
 
 
 def merge_into_catalog(table: str, source: DataFrame, spec: TableContract) -> None:

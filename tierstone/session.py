@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 SCAN_BYTES = 16 << 20
-# Of files that only this library reads.
+# Of the files this library writes.
 COMPRESSION = "zstd"
 
 

@@ -27,6 +27,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder, in place of what is there."""
+    fs, p = _fs(spark, target)
+    fs.delete(p, True)
+    fs.mkdirs(p.getParent())
+    if not fs.rename(_fs(spark, source)[1], p):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and folders directly in ``path``."""
     fs, p = _fs(spark, path)

@@ -42,3 +42,23 @@ def test_error_texts_are_cut_before_they_are_sorted(spark, monkeypatch):
     monkeypatch.setattr(warehouse, "attempts", attempts)
     results = gallery.delivery_results(spark, "unused")
     assert [r.error for r in results.collect()] == ["y" * outbox.ERROR_LENGTH]
+
+
+def test_micro_batches_leave_no_shuffle_files_and_the_session_as_it_was(spark):
+    root = session.scratch_dir(spark, "test-tidy")
+    spark.range(3).write.parquet(f"{root}/in")
+    before, seen = spark.conf.get(session.CLEANUP_CONF), []
+
+    def run(batch, batch_id):
+        seen.append((batch.sparkSession.conf.get(session.CLEANUP_CONF), batch.repartition(2).count()))
+
+    stream = spark.readStream.schema("id long").parquet(f"{root}/in").writeStream.trigger(availableNow=True)
+    stream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(session.tidy(run)).start().awaitTermination()
+    assert seen == [("true", 3)] and spark.conf.get(session.CLEANUP_CONF) == before
+
+
+def test_landings_are_packed_tightly(spark):
+    streams = gallery.RoundStreams(spark, "unused")
+    streams.land(spark.range(9).withColumn("country_code", F.lit("de")))
+    found = file_paths(spark, streams.root, ".parquet")
+    assert found and all(f.endswith(".zstd.parquet") for f in found)
